@@ -1,6 +1,6 @@
 """Importing this package registers every query."""
 
-from tidemark.plans import profilepack, scalarpack, sqlpack  # noqa: F401
+from tidemark.plans import imputepack, missingpack, profilepack, scalarpack, sqlpack  # noqa: F401
 from tidemark.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
