@@ -6,46 +6,36 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
-
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.session import pin_measured
 
-def measured_bytes(df: DataFrame) -> int:
-    """Row count times fixed width plus the real length of text and array values."""
-    fixed, parts = 8, [F.count(F.lit(1)).alias("n")]
-    for field in df.schema.fields:
-        column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.StringType):
-            parts.append(F.coalesce(F.sum(F.octet_length(column)), F.lit(0)).alias(f"b{len(parts)}"))
-            fixed += 8
-        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            parts.append(
-                F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(column)))), F.lit(0)).alias(f"b{len(parts)}")
-            )
-            fixed += 8
-        else:
-            fixed += 16
-    row = df.agg(*parts).first()
-    return row["n"] * fixed + sum(row[i] for i in range(1, len(parts)))
+BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Mark ``df`` for broadcast when its measured size is below ``limit``; otherwise leave the join to
-    Spark, which shuffles both sides and splits skewed partitions (adaptive skew join)."""
-    return F.broadcast(df) if measured_bytes(df) <= limit else df
+    """Materialise a summary table and mark it for broadcast when its measured size is below ``limit``.
+
+    A larger one is left to Spark, which shuffles both sides and splits skewed partitions (adaptive skew
+    join). Either way the table is computed once.
+    """
+    pinned, _, size = pin_measured(df)
+    return F.broadcast(pinned) if size <= limit else pinned
 
 
 def null_safe_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", check_size: bool = True
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", bounded: bool = False
 ) -> DataFrame:
-    """Equi-join in which null keys match each other, as group keys do. Key columns come from ``left``."""
+    """Equi-join in which null keys match each other, as group keys do. Key columns come from ``left``.
+
+    ``right`` is a summary with one row per key. Its size is measured before it is broadcast, unless the
+    caller knows a bound (``bounded``).
+    """
     renamed = right.select(
         *[F.col(f"`{k}`").alias(f"__r_{i}") for i, k in enumerate(keys)],
         *[F.col(f"`{c}`") for c in right.columns if c not in keys],
     )
-    if check_size:
-        renamed = broadcast_if_small(renamed)
+    renamed = F.broadcast(renamed) if bounded else broadcast_if_small(renamed)
     condition: Column = reduce(
         and_, [left[f"`{k}`"].eqNullSafe(renamed[f"__r_{i}"]) for i, k in enumerate(keys)]
     )

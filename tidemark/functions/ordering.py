@@ -13,9 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.joins import null_safe_join
-from tidemark.session import pin
+from tidemark.session import pin, pin_measured
 
 PART = "__part"
+PLAIN_WINDOW_ROWS = 300_000
 
 
 def spread_sort(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -28,22 +29,26 @@ def spread_sort(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     return pin(ranged).withColumn(PART, F.spark_partition_id())
 
 
-def running_total(
-    df: DataFrame,
-    order: Sequence[str],
-    amount: Column,
-    name: str,
-    keys: Sequence[str] = (),
-    pinned: DataFrame | None = None,
+def plain_running_total(df: DataFrame, order: Sequence[str], amount: Column, name: str, keys: Sequence[str]) -> DataFrame:
+    """The ordinary window, for tables already measured to be small."""
+    window = (
+        Window.partitionBy(*(keys or [F.lit(0)]))
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return df.withColumn(name, F.sum(amount).over(window))
+
+
+def spread_running_total(
+    base: DataFrame, order: Sequence[str], amount: Column, name: str, keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Add ``name``: the sum of ``amount`` over rows up to and including this one, per key."""
+    """Add ``name`` to the result of ``spread_sort``: the sum of ``amount`` up to and including each row, per key."""
     keys = list(keys)
-    base = (pinned if pinned is not None else spread_sort(df, keys, order)).withColumn("__amount", amount)
+    base = base.withColumn("__amount", amount)
     per_part = base.groupBy(PART, *keys).agg(F.sum("__amount").alias("__sum"))
-    earlier = Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    if not keys:
-        per_part = per_part.withColumn("__all", F.lit(0))
-        earlier = Window.partitionBy("__all").orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = (
+        Window.partitionBy(*(keys or [F.lit(0)])).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    )
     shifts = (
         per_part.withColumn("__before", F.sum("__sum").over(earlier))
         .where(F.col("__before").isNotNull())
@@ -55,16 +60,37 @@ def running_total(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     local = base.withColumn("__local", F.sum("__amount").over(within))
+    # fewer rows than range partitions: a fixed bound
     return (
-        null_safe_join(local, shifts, [PART, *keys])
+        null_safe_join(local, shifts, [PART, *keys], bounded=True)
         .withColumn(name, F.col("__local") + F.coalesce(F.col("__before"), F.lit(0)))
         .drop(PART, "__amount", "__local", "__before")
     )
 
 
+def running_total(
+    df: DataFrame,
+    order: Sequence[str],
+    amount: Column,
+    name: str,
+    keys: Sequence[str] = (),
+    plain_limit: int | None = None,
+) -> DataFrame:
+    """Running sum of ``amount`` per key over a pre-aggregated table.
+
+    The table is written once and measured; up to ``plain_limit`` rows an ordinary window is enough,
+    beyond that the rows are spread over range partitions.
+    """
+    pinned, rows, _ = pin_measured(df)
+    if rows <= (PLAIN_WINDOW_ROWS if plain_limit is None else plain_limit):
+        return plain_running_total(pinned, order, amount, name, list(keys))
+    return spread_running_total(spread_sort(pinned, keys, order), order, amount, name, keys)
+
+
 def row_position(
     df: DataFrame, order: Sequence[str], name: str = "row_idx", keys: Sequence[str] = (), start: int = 1
 ) -> DataFrame:
     """Number the rows of each key (or of the whole table) from ``start`` in the given order."""
-    numbered = running_total(df, order, F.lit(1).cast("bigint"), name, keys)
+    one = F.lit(1).cast("bigint")
+    numbered = spread_running_total(spread_sort(df, keys, order), order, one, name, keys)
     return numbered if start == 1 else numbered.withColumn(name, F.col(name) + F.lit(start - 1))

@@ -11,10 +11,11 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.functions import ordering
 from tidemark.functions.joins import null_safe_join
-from tidemark.functions.ordering import running_total, spread_sort
+from tidemark.session import pin_measured
 
 
 def _holds_wanted_rank(probs: Sequence[float], method: str) -> Column:
@@ -45,6 +46,18 @@ def _wanted_ranks(probs: Sequence[float], method: str):
     return F.array(*entries)
 
 
+def _ranked_cells(cells: DataFrame, by: list[str], plain_limit: int | None = None) -> DataFrame:
+    """Value cells with the count up to and including each (``__hi``) and the group size ``n``."""
+    pinned, rows, _ = pin_measured(cells)
+    if rows <= (ordering.PLAIN_WINDOW_ROWS if plain_limit is None else plain_limit):
+        ranked = ordering.plain_running_total(pinned, ["__v"], F.col("__c"), "__hi", by)
+        return ranked.withColumn("n", F.sum("__c").over(Window.partitionBy(*(by or [F.lit(0)]))))
+    spread = ordering.spread_sort(pinned, by, ["__v"])
+    ranked = ordering.spread_running_total(spread, ["__v"], F.col("__c"), "__hi", by)
+    sizes = pinned.groupBy(*by).agg(F.sum("__c").alias("n"))
+    return null_safe_join(ranked, sizes, by, "inner") if by else ranked.withColumn("n", sizes.scalar())
+
+
 def quantile_rows(
     df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), method: str = "linear"
 ) -> DataFrame:
@@ -61,10 +74,7 @@ def quantile_rows(
         .groupBy(*by, "__v")
         .agg(F.count(F.lit(1)).alias("__c"))
     )
-    pinned = spread_sort(cells, by, ["__v"])
-    ranked = running_total(cells, ["__v"], F.col("__c"), "__hi", by, pinned=pinned)
-    sizes = pinned.groupBy(*by).agg(F.sum("__c").alias("n"))
-    sized = null_safe_join(ranked, sizes, by, "inner") if by else ranked.withColumn("n", sizes.scalar())
+    sized = _ranked_cells(cells, by)
     hits = F.filter(
         _wanted_ranks(probs, method),
         lambda r: (r["rank"] >= F.col("__hi") - F.col("__c")) & (r["rank"] < F.col("__hi")) & (r["w"] > 0),

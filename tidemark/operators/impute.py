@@ -10,6 +10,7 @@ from tidemark.functions.joins import null_safe_join
 from tidemark.functions.quantiles import quantiles
 from tidemark.functions.scalars import relative_change_percent
 from tidemark.operators.profile import stat_block
+from tidemark.session import pin
 
 
 def group_median_on_rows(df: DataFrame, value: str, by: Sequence[str], name: str) -> DataFrame:
@@ -17,10 +18,26 @@ def group_median_on_rows(df: DataFrame, value: str, by: Sequence[str], name: str
     return null_safe_join(df, quantiles(df, value, [0.5], by, [name]), list(by))
 
 
+def grouping_medians(df: DataFrame, value: str, groupings: Sequence[Sequence[str]]) -> DataFrame:
+    """Medians of several groupings in one pass: ``(__set, *key columns, __median)``.
+
+    Like grouping sets, each row feeds one cell per grouping, with the unused key columns null; cells are
+    combined before the shuffle. The empty grouping is the overall median.
+    """
+    keys = sorted({c for by in groupings for c in by})
+    sets = [
+        F.struct(F.lit(i).alias("__set"), *[(F.col(k) if k in by else F.lit(None).cast(df.schema[k].dataType)).alias(k) for k in keys])
+        for i, by in enumerate(groupings)
+    ]
+    tall = df.select(F.col(value).alias("__value"), F.explode(F.array(*sets)).alias("s")).select("__value", "s.*")
+    return pin(quantiles(tall, "__value", [0.5], ["__set", *keys], ["__median"]))
+
+
 def impute_group_median(df: DataFrame, value: str, by: Sequence[str], into: str | None = None) -> DataFrame:
     """Gaps become the group's median, or the overall median where the group has no value at all."""
-    overall = quantiles(df, value, [0.5], names=["m"]).scalar()
-    filled = group_median_on_rows(df, value, by, "__median")
+    medians = grouping_medians(df, value, [list(by), []])
+    overall = medians.where("__set = 1").agg(F.max("__median")).scalar()
+    filled = null_safe_join(df, medians.where("__set = 0").drop("__set"), list(by))
     return filled.withColumn(into or value, F.coalesce(F.col(value), F.col("__median"), overall)).drop("__median")
 
 
@@ -43,36 +60,39 @@ def drop_vs_impute(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     )
 
 
-def mask_and_score(df: DataFrame, value: str, by: Sequence[str], masked: Column) -> DataFrame:
-    """Hide known values where ``masked`` holds, impute them from the rest, and score against the truth.
+def compare_groupings(df: DataFrame, value: str, groupings: Sequence[Sequence[str]], masked: Column) -> DataFrame:
+    """Hide known values where ``masked`` holds, impute them per grouping from the rest, score against the truth.
 
-    ``fallback_rate`` is the share of hidden rows whose group had no visible value.
+    ``fallback_rate`` is the share of hidden rows whose group had no visible value. All groupings share one
+    pass over the table.
     """
-    known = drop_missing(df, value).withColumn("__masked", masked).withColumn(
-        "__seen", F.when(~F.col("__masked"), F.col(value))
-    )
-    visible = known.where(~F.col("__masked"))
-    overall = quantiles(visible, value, [0.5], names=["m"]).scalar()
-    hidden = null_safe_join(known.where("__masked"), quantiles(visible, value, [0.5], by, ["__guess"]), list(by))
-    error = F.coalesce(F.col("__guess"), overall) - F.col(value)
+    known = drop_missing(df, value).withColumn("__masked", masked)
+    medians = grouping_medians(known.where(~F.col("__masked")), value, [*groupings, []])
+    overall = medians.where(F.col("__set") == len(groupings)).agg(F.max("__median")).scalar()
+    keys = [c for c in medians.columns if c not in ("__set", "__median")]
+    sets = [
+        F.struct(F.lit(i).alias("__set"), *[(F.col(k) if k in by else F.lit(None).cast(df.schema[k].dataType)).alias(k) for k in keys])
+        for i, by in enumerate(groupings)
+    ]
+    hidden = known.where("__masked").select(F.col(value).alias("__truth"), F.explode(F.array(*sets)).alias("s"))
+    guessed = null_safe_join(hidden.select("__truth", "s.*"), medians, ["__set", *keys])
+    error = F.coalesce(F.col("__median"), overall) - F.col("__truth")
+    names = F.array(*[F.lit(", ".join(by)) for by in groupings])
     return (
-        hidden.select("__guess", error.alias("e"))
+        guessed.select("__set", "__median", error.alias("e"))
+        .groupBy("__set")
         .agg(
             F.avg(F.abs("e")).alias("mae"),
             F.sqrt(F.avg(F.col("e") * F.col("e"))).alias("rmse"),
-            F.avg(F.col("__guess").isNull().cast("int")).alias("fallback_rate"),
+            F.avg(F.col("__median").isNull().cast("int")).alias("fallback_rate"),
         )
-        .select(F.lit(", ".join(by)).alias("grouping"), "mae", "rmse", "fallback_rate")
+        .select(F.get(names, F.col("__set")).alias("grouping"), "mae", "rmse", "fallback_rate")
     )
 
 
-def compare_groupings(df: DataFrame, value: str, groupings: Sequence[Sequence[str]], masked: Column) -> DataFrame:
-    """The hold-out score of every candidate grouping."""
-    scores = [mask_and_score(df, value, by, masked) for by in groupings]
-    out = scores[0]
-    for score in scores[1:]:
-        out = out.unionByName(score)
-    return out
+def mask_and_score(df: DataFrame, value: str, by: Sequence[str], masked: Column) -> DataFrame:
+    """The hold-out score of one grouping."""
+    return compare_groupings(df, value, [by], masked)
 
 
 def simple_imputations(df: DataFrame, value: str) -> DataFrame:

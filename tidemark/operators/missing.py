@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.joins import null_safe_join
 from tidemark.functions.missing import is_missing, null_if_nan
-from tidemark.functions.ordering import running_total, spread_sort
+from tidemark.functions.ordering import running_total
 from tidemark.functions.quantiles import quantiles
 from tidemark.operators.aggregates import percent_by_group
 from tidemark.operators.profile import correlation, per_column
@@ -218,8 +218,7 @@ def auc_by_ranks(df: DataFrame, score: str, label: str) -> DataFrame:
     cells = df.groupBy(F.col(score).alias("s")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    pinned = spread_sort(cells, [], ["s"])
-    ranked = running_total(cells, ["s"], F.col("neg"), "neg_upto", pinned=pinned)
+    ranked = running_total(cells, ["s"], F.col("neg"), "neg_upto")
     wins = F.col("pos") * (F.col("neg_upto") - F.col("neg") + F.col("neg") / 2.0)
     return ranked.agg(F.try_divide(F.sum(wins), F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
 

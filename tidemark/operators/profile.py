@@ -141,9 +141,8 @@ def stat_block(df: DataFrame, value: str, by: Sequence[str] = (), method: str =
     marks = quantiles(df, value, [0.5, 0.95], by, ["median", "p95"], method)
     if by:
         return null_safe_join(basic, marks, list(by))
-    return basic.select(
-        "mean", marks.select("median").scalar().alias("median"), "std", marks.select("p95").scalar().alias("p95")
-    )
+    marked = basic.withColumn("__marks", marks.select(F.struct("median", "p95")).scalar())
+    return marked.select("mean", F.col("__marks.median").alias("median"), "std", F.col("__marks.p95").alias("p95"))
 
 
 def quantile_list(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
@@ -154,10 +153,7 @@ def quantile_list(df: DataFrame, value: str, probs: Sequence[float], by: Sequenc
 
 
 def correlation(a: Column, b: Column) -> Column:
-    """Pearson over pairs where both are present; null for constant input instead of an error.
-
-    The spread is measured on shifted sums inside Spark's own variance, so identical values give exactly 0.
-    """
+    """Pearson over pairs where both are present; null for constant input instead of an error."""
     both = a.isNotNull() & b.isNotNull()
     x, y = F.when(both, a.cast("double")), F.when(both, b.cast("double"))
     spread = F.stddev_pop(x) * F.stddev_pop(y)

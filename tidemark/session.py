@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 
 def build_session(app_name: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -58,3 +58,22 @@ def pin(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def pin_measured(df: DataFrame) -> tuple[DataFrame, int, int]:
+    """``pin`` that also returns the row count and the size in bytes, observed while writing."""
+    fixed, seen = 8, [F.count(F.lit(1)).alias("rows")]
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            column = F.to_json(F.struct(column))
+        if isinstance(field.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)):
+            seen.append(F.coalesce(F.sum(F.octet_length(column)), F.lit(0)).alias(f"b{len(seen)}"))
+            fixed += 8
+        else:
+            fixed += 16
+    observation = Observation()
+    pinned = pin(df.observe(observation, *seen))
+    metrics = observation.get
+    rows = metrics["rows"]
+    return pinned, rows, rows * fixed + sum(v for k, v in metrics.items() if k != "rows")
