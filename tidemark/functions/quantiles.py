@@ -18,32 +18,43 @@ from tidemark.functions.joins import null_safe_join
 from tidemark.session import pin_measured
 
 
+FEW = 12  # up to here the rank test is unrolled into generated code
+
+
+def _probs(probs: Sequence[float]) -> Column:
+    return F.array(*[F.lit(float(p)) for p in probs])
+
+
 def _holds_wanted_rank(probs: Sequence[float], method: str) -> Column:
     """True for the few value cells in which a requested order statistic lies."""
-    tests = []
-    for p in probs:
-        position = F.lit(float(p)) * (F.col("n") - 1)
-        if method == "nearest":
-            first = last = F.round(position)
-        else:
-            first, last = F.floor(position), F.ceil(position)
-        tests.append((last >= F.col("__hi") - F.col("__c")) & (first < F.col("__hi")))
-    return reduce(or_, tests)
+
+    def test(p: Column) -> Column:
+        position = p * (F.col("n") - 1)
+        first = F.round(position) if method == "nearest" else F.floor(position)
+        last = first if method == "nearest" else F.ceil(position)
+        return (last >= F.col("__hi") - F.col("__c")) & (first < F.col("__hi"))
+
+    if len(probs) <= FEW:
+        return reduce(or_, [test(F.lit(float(p))) for p in probs])
+    return F.exists(_probs(probs), test)
 
 
-def _wanted_ranks(probs: Sequence[float], method: str):
+def _wanted_ranks(probs: Sequence[float], method: str) -> Column:
     """Array of (probability index, 0-based rank, weight) for the group size in column ``n``."""
-    entries = []
-    for i, p in enumerate(probs):
-        position = F.lit(float(p)) * (F.col("n") - 1)
-        low = F.floor(position)
+
+    def lower_and_upper(p: Column, i: Column) -> Column:
+        position = p * (F.col("n") - 1)
         if method == "nearest":
-            entries.append(F.struct(F.lit(i).alias("i"), F.round(position).cast("bigint").alias("rank"), F.lit(1.0).alias("w")))
-        else:
-            share = position - low
-            entries.append(F.struct(F.lit(i).alias("i"), low.alias("rank"), (1 - share).alias("w")))
-            entries.append(F.struct(F.lit(i).alias("i"), (low + 1).alias("rank"), share.alias("w")))
-    return F.array(*entries)
+            return F.array(_rank(i, F.round(position), F.lit(1.0)))
+        low = F.floor(position)
+        share = position - low
+        return F.array(_rank(i, low, 1 - share), _rank(i, low + 1, share))
+
+    return F.flatten(F.transform(_probs(probs), lower_and_upper))
+
+
+def _rank(i: Column, rank: Column, weight: Column) -> Column:
+    return F.struct(i.alias("i"), rank.cast("bigint").alias("rank"), weight.alias("w"))
 
 
 def _ranked_cells(cells: DataFrame, by: list[str], plain_limit: int | None = None) -> DataFrame:

@@ -1,6 +1,14 @@
 """Importing this package registers every query."""
 
-from tidemark.plans import imputepack, missingpack, profilepack, scalarpack, sqlpack  # noqa: F401
+from tidemark.plans import (  # noqa: F401
+    imputepack,
+    missingpack,
+    outlierpack,
+    profilepack,
+    qualitypack,
+    scalarpack,
+    sqlpack,
+)
 from tidemark.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
