@@ -94,3 +94,28 @@ def row_position(
     one = F.lit(1).cast("bigint")
     numbered = spread_running_total(spread_sort(df, keys, order), order, one, name, keys)
     return numbered if start == 1 else numbered.withColumn(name, F.col(name) + F.lit(start - 1))
+
+
+EXPAND_BLOCK = 10_000
+
+
+def expand_counts(df: DataFrame, first: Column, count: Column, name: str) -> DataFrame:
+    """Repeat each row ``count`` times with ``name`` running from ``first``.
+
+    Large counts unfold in two steps, with the blocks dealt out to all tasks in between.
+    """
+    numbered = df.withColumns({"__first": first, "__count": count})
+    wide = numbered.where(F.col("__count") > EXPAND_BLOCK)
+    blocks = (
+        wide.withColumn("__b", F.explode(F.sequence(F.lit(0), ((F.col("__count") - 1) / EXPAND_BLOCK).cast("bigint"))))
+        .repartition("__first", "__b", *[c for c in df.columns])
+        .withColumn("__count", F.least(F.col("__count") - F.col("__b") * EXPAND_BLOCK, F.lit(EXPAND_BLOCK)))
+        .withColumn("__first", F.col("__first") + F.col("__b") * EXPAND_BLOCK)
+        .drop("__b")
+    )
+    small = numbered.where(F.col("__count") <= EXPAND_BLOCK)
+    return (
+        small.unionByName(blocks)
+        .withColumn(name, F.explode(F.sequence(F.col("__first"), F.col("__first") + F.col("__count") - 1)))
+        .drop("__first", "__count")
+    )

@@ -6,6 +6,8 @@ from tidemark.plans import (  # noqa: F401
     outlierpack,
     profilepack,
     qualitypack,
+    reconcilepack,
+    reportpack,
     scalarpack,
     sqlpack,
 )
