@@ -1,6 +1,8 @@
 """Importing this package registers every query."""
 
 from tidemark.plans import (  # noqa: F401
+    encodingpack,
+    filepack,
     imputepack,
     missingpack,
     outlierpack,
