@@ -63,12 +63,11 @@ def first_issue(lines: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["start", "end", "bad_bytes", "reason"]).astype({"start": "Int32", "end": "Int32"})
 
 
-def non_utf8_lines(lines: DataFrame) -> DataFrame:
-    """First invalid byte sequence of every invalid line. Valid lines are dropped in the JVM; only the rest
-    reaches Python."""
+def non_utf8_lines(lines: DataFrame, keep: Sequence[str] = ("path", "line")) -> DataFrame:
+    """First invalid byte sequence of every invalid line, next to the ``keep`` columns. Valid lines are
+    dropped in the JVM; only the rest reaches Python."""
     bad = lines.where(~F.is_valid_utf8("value"))
-    issue = first_issue(F.col("value").cast("binary"))
-    return bad.withColumn("issue", issue).select("path", "line", "issue.*")
+    return bad.withColumn("issue", first_issue(F.col("value").cast("binary"))).select(*keep, "issue.*")
 
 
 def decode_cells(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -122,6 +122,12 @@ def missing_present_summary(df: DataFrame, value: str, flag: Column) -> DataFram
     )
 
 
+def scatter_sample(df: DataFrame, key: str, columns: Sequence[str], fraction: float) -> DataFrame:
+    """Points for a scatter plot: a repeatable sample by the hash of a key."""
+    picked = F.pmod(F.xxhash64(key), F.lit(1_000_000)) < F.lit(int(fraction * 1_000_000))
+    return df.where(picked).select(*columns)
+
+
 # -- Little's test -----------------------------------------------------------------------------------
 
 
@@ -223,19 +229,26 @@ def auc_by_ranks(df: DataFrame, score: str, label: str) -> DataFrame:
     return ranked.agg(F.try_divide(F.sum(wins), F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
 
 
-def missing_auc(df: DataFrame, target: str, features: Sequence[str], reg_param: float = 0.0) -> DataFrame:
-    """Fit a logistic model of "``target`` is missing" on the features (gaps as 0) and return its AUC."""
+def missing_auc(df: DataFrame, target: str, features: Sequence[str], strength: float = 1.0) -> DataFrame:
+    """Fit a logistic model of "``target`` is missing" on the features (gaps as 0) and return its AUC.
+
+    ``strength`` is the weight of the data against the squared weights, summed over rows; Spark's penalty is
+    per row, hence the division.
+    """
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
 
     base = df.select(
         is_missing(df, target).cast("double").alias("label"),
         *[F.coalesce(null_if_nan(df, f).cast("double"), F.lit(0.0)).alias(f) for f in features],
     )
     frame = VectorAssembler(inputCols=list(features), outputCol="features").transform(base).select("label", "features")
-    model = LogisticRegression(regParam=reg_param, maxIter=100).fit(frame)
-    scored = model.transform(frame).select("label", vector_to_array("probability")[1].alias("score"))
-    return auc_by_ranks(scored, "score", "label")
+    penalty = 1.0 / (strength * max(1, frame.count()))
+    model = LogisticRegression(regParam=penalty, standardization=False, maxIter=100).fit(frame)
+    # ranks only need the linear part, written as a plain expression over the same columns
+    linear = reduce(
+        lambda a, b: a + b, [F.col(f) * F.lit(float(w)) for f, w in zip(features, model.coefficients)], F.lit(float(model.intercept))
+    )
+    return auc_by_ranks(base.select("label", linear.alias("score")), "score", "label")
 
 

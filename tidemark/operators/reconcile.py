@@ -8,7 +8,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.ordering import expand_counts, running_total
+from tidemark.functions.ordering import expand_counts, spread_running_total, spread_sort
 
 SECTION_SEPARATOR = "__"
 
@@ -158,7 +158,7 @@ def keyed_positional_diff(original: DataFrame, loaded: DataFrame, key_count: int
 
     def placed(df: DataFrame, side: str) -> DataFrame:
         counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
-        ranked = running_total(counted, rest, F.col("__n"), "__hi", keys)
+        ranked = spread_running_total(spread_sort(counted, keys, rest), rest, F.col("__n"), "__hi", keys)
         rows = expand_counts(ranked, F.col("__hi") - F.col("__n") + 1, F.col("__n"), "position")
         return rows.select(*keys, "position", F.struct(*rest).alias(side))
 

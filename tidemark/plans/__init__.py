@@ -5,6 +5,7 @@ from tidemark.plans import (  # noqa: F401
     filepack,
     imputepack,
     missingpack,
+    modelpack,
     outlierpack,
     profilepack,
     qualitypack,

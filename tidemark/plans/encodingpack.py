@@ -40,20 +40,28 @@ def damaged_file(spark, sf_dir):
     return path
 
 
-@query("non_utf8_lines")
-def non_utf8_lines(spark, sf_dir):
-    issues = en.non_utf8_lines(en.numbered_lines(spark, damaged_file(spark, sf_dir)))
-    return issues.select("line", "start", "end", "bad_bytes", "reason")
-
-
 @query(
-    "non_utf8_count",
-    f"select count(*) as bad_lines, 'latin1' as kind from documents where {DAMAGED_SQL}",
+    "non_utf8_lines",
+    "select doc_id, pos as start, pos + 1 as \"end\", printf('%02x', unicode(c)) as bad_bytes from (select doc_id, c, "
+    f"length(cast(doc_id as varchar)) + strpos(t, c) as pos from (select doc_id, {SQL_LINE} as t, "
+    "regexp_extract(text, '[\\x{80}-\\x{FF}]') as c from documents "
+    f"where {DAMAGED_SQL}))",
 )
-def non_utf8_count(spark, sf_dir):
-    """Texts whose damage happens to form valid UTF-8 would not be found; none of the real texts does."""
-    issues = en.non_utf8_lines(en.numbered_lines(spark, damaged_file(spark, sf_dir)))
-    return issues.agg(F.count(F.lit(1)).alias("bad_lines")).withColumn("kind", F.lit("latin1"))
+def non_utf8_lines(spark, sf_dir):
+    lines = en.numbered_lines(spark, damaged_file(spark, sf_dir))
+    keyed = lines.withColumn("doc_id", F.substring_index("value", "\t", 1).cast("bigint"))
+    return en.non_utf8_lines(keyed, ["doc_id"]).drop("reason")
+
+
+@query("numbered_lines", "select count(*) as lines, true as without_gaps from documents")
+def numbered_lines(spark, sf_dir):
+    """Line numbers of each file run from 1 without gaps."""
+    path = scratch_path(spark, "numbered")
+    documents(spark, sf_dir).repartition("doc_id").select(one_line().alias("value")).write.text(path)
+    per_file = en.numbered_lines(spark, path).groupBy("path").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("line").alias("d"), F.min("line").alias("lo"), F.max("line").alias("hi")
+    )
+    return per_file.agg(F.sum("n").alias("lines"), F.every(F.expr("lo = 1 and hi = n and d = n")).alias("without_gaps"))
 
 
 @query(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import aggregates as agg
 from tidemark.operators import impute as im
 from tidemark.operators import profile as pf
+from tidemark.operators.outliers import histogram
 from tidemark.plans.registry import DN_SQL, derived_nulls, query, rounded
 
 GROUP = ["p_brand", "p_type"]
@@ -162,6 +163,17 @@ def simple_impute(spark, sf_dir):
     )
 
 
+@query(
+    "impute_histograms",
+    f"with d as (select qty, (select avg(qty) from {DN_SQL}) as m, (select median(qty) from {DN_SQL}) as h from {DN_SQL}), "
+    "v as (select 'observed' as variant, qty as x from d where qty is not null union all select 'mean', coalesce(qty, m) "
+    "from d union all select 'median', coalesce(qty, h) from d), s as (select min(x) as lo, max(x) as hi from v) "
+    "select variant, least(cast(floor((x - lo) / ((hi - lo) / 50)) as int), 49) as bin, count(*) as count from v, s group by 1, 2",
+)
+def impute_histograms(spark, sf_dir):
+    return histogram(im.simple_imputations(gaps(spark, sf_dir), "qty"), "value", 50, ["variant"]).drop("left")
+
+
 FACTORS = {"as_imputed": 1.0, "minus_10": 0.9, "plus_10": 1.1}
 
 

@@ -105,9 +105,11 @@ def _rows(book: zipfile.ZipFile, member: str, texts: list[str], dates: set[int])
             element.clear()
 
 
-def read_cells(books: DataFrame, skip: Sequence[str] = (), first_row_only: bool = False) -> DataFrame:
+def read_cells(
+    books: DataFrame, skip: Sequence[str] = (), only: Sequence[str] | None = None, first_row_only: bool = False
+) -> DataFrame:
     """Cells of every sheet of ``(path, content)`` workbooks as text; an unreadable workbook is left out."""
-    skipped = set(skip)
+    skipped, wanted = set(skip), None if only is None else set(only)
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ["path", "sheet_no", "sheet", "row_idx", "cells"]
@@ -119,7 +121,7 @@ def read_cells(books: DataFrame, skip: Sequence[str] = (), first_row_only: bool
                 except (zipfile.BadZipFile, KeyError, ET.ParseError):
                     continue
                 for number, (sheet, member) in enumerate(sheets):
-                    if sheet in skipped:
+                    if sheet in skipped or (wanted is not None and sheet not in wanted):
                         continue
                     pending = []
                     for row_idx, cells in _rows(book, member, texts, dates):
@@ -171,12 +173,11 @@ def sheet_table(books: DataFrame, sheet: str, lineage: str | None = None) -> Dat
     """
     heads = [
         r["cells"]
-        for r in read_cells(books, first_row_only=True).where(F.col("sheet") == sheet).select("cells").distinct().collect()
+        for r in read_cells(books, only=[sheet], first_row_only=True).select("cells").distinct().collect()
     ]
     names = list(dict.fromkeys(n for h in sorted(heads, key=str) for n in h if n is not None))
-    cells = read_cells(books).where(F.col("sheet") == sheet)
-    header = cells.where("row_idx = 0").select("path", F.col("cells").alias("header"))
-    body = cells.where("row_idx > 0").join(header, on="path", how="inner")
+    header = read_cells(books, only=[sheet], first_row_only=True).select("path", F.col("cells").alias("header"))
+    body = read_cells(books, only=[sheet]).where("row_idx > 0").join(header, on="path", how="inner")
     position = {n: F.array_position("header", n) for n in names}
     columns = [
         F.when(position[n] > 0, F.get("cells", (position[n] - 1).cast("int"))).alias(n) for n in names

@@ -13,7 +13,7 @@ def ingest_new_files(spark: SparkSession, folder: str, schema: str, target: str,
     """
     stream = (
         spark.readStream.format(fmt).schema(schema).option("header", "true").option("recursiveFileLookup", "true").load(folder)
-        .withColumn("_source_file", F.element_at(F.split(F.input_file_name(), "/"), -1))
+        .withColumn("_source_file", F.col("_metadata.file_name"))
     )
     query = (
         stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", progress)
