@@ -16,7 +16,7 @@ from tidemark.functions.joins import null_safe_join
 from tidemark.session import pin, pin_measured
 
 PART = "__part"
-PLAIN_WINDOW_ROWS = 300_000
+PLAIN_WINDOW_ROWS = 1_000_000
 
 
 def spread_sort(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

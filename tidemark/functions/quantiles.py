@@ -57,16 +57,32 @@ def _rank(i: Column, rank: Column, weight: Column) -> Column:
     return F.struct(i.alias("i"), rank.cast("bigint").alias("rank"), weight.alias("w"))
 
 
-def _ranked_cells(cells: DataFrame, by: list[str], plain_limit: int | None = None) -> DataFrame:
-    """Value cells with the count up to and including each (``__hi``) and the group size ``n``."""
+def _ranked_cells(
+    cells: DataFrame, by: list[str], probs: Sequence[float], method: str, plain_limit: int | None = None
+) -> DataFrame:
+    """Value cells around the wanted ranks, with the count up to and including each (``__hi``) and the group size ``n``.
+
+    A small measured table takes an ordinary window. A larger one is range-partitioned; the totals per
+    partition already tell which partitions hold a wanted rank, and only those are ranked.
+    """
     pinned, rows, _ = pin_measured(cells)
     if rows <= (ordering.PLAIN_WINDOW_ROWS if plain_limit is None else plain_limit):
         ranked = ordering.plain_running_total(pinned, ["__v"], F.col("__c"), "__hi", by)
         return ranked.withColumn("n", F.sum("__c").over(Window.partitionBy(*(by or [F.lit(0)]))))
     spread = ordering.spread_sort(pinned, by, ["__v"])
-    ranked = ordering.spread_running_total(spread, ["__v"], F.col("__c"), "__hi", by)
-    sizes = pinned.groupBy(*by).agg(F.sum("__c").alias("n"))
-    return null_safe_join(ranked, sizes, by, "inner") if by else ranked.withColumn("n", sizes.scalar())
+    keys = [ordering.PART, *by]
+    group = Window.partitionBy(*(by or [F.lit(0)]))
+    earlier = group.orderBy(ordering.PART).rowsBetween(Window.unboundedPreceding, -1)
+    placed = (
+        spread.groupBy(*keys)
+        .agg(F.sum("__c").alias("__c"))
+        .withColumns({"__before": F.coalesce(F.sum("__c").over(earlier), F.lit(0)), "n": F.sum("__c").over(group)})
+        .withColumn("__hi", F.col("__before") + F.col("__c"))
+        .where(_holds_wanted_rank(probs, method))
+        .select(*keys, "__before", "n")
+    )
+    within = Window.partitionBy(*keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return null_safe_join(spread, placed, keys, "inner").withColumn("__hi", F.sum("__c").over(within) + F.col("__before"))
 
 
 def quantile_rows(
@@ -85,7 +101,7 @@ def quantile_rows(
         .groupBy(*by, "__v")
         .agg(F.count(F.lit(1)).alias("__c"))
     )
-    sized = _ranked_cells(cells, by)
+    sized = _ranked_cells(cells, by, probs, method)
     hits = F.filter(
         _wanted_ranks(probs, method),
         lambda r: (r["rank"] >= F.col("__hi") - F.col("__c")) & (r["rank"] < F.col("__hi")) & (r["w"] > 0),

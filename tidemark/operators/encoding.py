@@ -117,22 +117,22 @@ def repair(value: Column, policy: str = "replace") -> Column:
 
 
 def detect_encoding(lines: DataFrame) -> DataFrame:
-    """Per file: utf-8-sig, ascii, utf-8 or iso-8859-1, with the share of invalid lines."""
+    """Per file: ascii, utf-8 or iso-8859-1, with the share of invalid lines.
+
+    A byte-order mark needs no case of its own: the text source drops it while reading.
+    """
     value = F.col("value")
-    starts = F.hex(F.substring(value.cast("binary"), 1, 3)) == "EFBBBF"
     ascii_only = F.octet_length(value) == F.char_length(F.make_valid_utf8(value))
     return (
         lines.groupBy("path")
         .agg(
-            F.bool_or(starts).alias("bom"),
             F.bool_and(ascii_only & F.is_valid_utf8(value)).alias("ascii"),
             F.bool_and(F.is_valid_utf8(value)).alias("utf8"),
             F.avg((~F.is_valid_utf8(value)).cast("int")).alias("invalid_share"),
         )
         .select(
             "path",
-            F.when(F.col("bom") & F.col("utf8"), "utf-8-sig")
-            .when(F.col("ascii"), "ascii")
+            F.when(F.col("ascii"), "ascii")
             .when(F.col("utf8"), "utf-8")
             .otherwise("iso-8859-1")
             .alias("encoding"),

@@ -35,17 +35,14 @@ def split_messages(df: DataFrame, comment: str, mode: str = "Pre") -> DataFrame:
     return lines.withColumns({"error_type": F.lit(""), "message": text})
 
 
-def summarise(df: DataFrame, status: str, sheet: Sequence[str] = (), mode: str = "Pre", samples: int = SAMPLES) -> DataFrame:
-    """Amount and first samples per message, status and type; rows without message or status are left out.
+def first_samples(lines: DataFrame, keys: Sequence[str], samples: int = SAMPLES) -> DataFrame:
+    """The first samples of each group, one per line of text.
 
-    The samples come from a ranked window that Spark cuts to ``samples`` rows per group before the
-    shuffle, so the full list of a frequent message is never gathered.
+    Spark cuts the ranked window to ``samples`` rows per group before the shuffle, so the full list of a
+    frequent message is never gathered.
     """
-    keys = [*sheet, "message", status, "error_type"]
-    lines = df.na.drop(subset=keys)
-    amounts = lines.groupBy(*keys).agg(F.count(F.lit(1)).alias("amount"))
     first = Window.partitionBy(*keys).orderBy("report_index", "line_no")
-    picked = (
+    return (
         lines.select(*keys, "report_index", "line_no", "sample")
         .withColumn("__rank", F.row_number().over(first))
         .where(F.col("__rank") <= samples)
@@ -53,7 +50,14 @@ def summarise(df: DataFrame, status: str, sheet: Sequence[str] = (), mode: str =
         .agg(F.array_sort(F.collect_list(F.struct("__rank", "sample"))).alias("__s"))
         .select(*keys, F.array_join(F.transform("__s", lambda x: x["sample"]), "\n").alias("samples"))
     )
-    out = null_safe_join(amounts, picked, keys)
+
+
+def summarise(df: DataFrame, status: str, sheet: Sequence[str] = (), mode: str = "Pre", samples: int = SAMPLES) -> DataFrame:
+    """Amount and first samples per message, status and type; rows without message or status are left out."""
+    keys = [*sheet, "message", status, "error_type"]
+    lines = df.na.drop(subset=keys)
+    amounts = lines.groupBy(*keys).agg(F.count(F.lit(1)).alias("amount"))
+    out = null_safe_join(amounts, first_samples(lines, keys, samples), keys)
     shown = "error_type" if mode == "Pre" else status
     return out.select(*sheet, shown, "message", "amount", "samples")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def build_session(app_name: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -61,7 +61,8 @@ def pin(df: DataFrame) -> DataFrame:
 
 
 def pin_measured(df: DataFrame) -> tuple[DataFrame, int, int]:
-    """``pin`` that also returns the row count and the size in bytes, observed while writing."""
+    """``pin`` that also returns the row count and the size in bytes, measured on what was written."""
+    pinned = pin(df)
     fixed, seen = 8, [F.count(F.lit(1)).alias("rows")]
     for field in df.schema.fields:
         column = F.col(f"`{field.name}`")
@@ -72,8 +73,5 @@ def pin_measured(df: DataFrame) -> tuple[DataFrame, int, int]:
             fixed += 8
         else:
             fixed += 16
-    observation = Observation()
-    pinned = pin(df.observe(observation, *seen))
-    metrics = observation.get
-    rows = metrics["rows"]
-    return pinned, rows, rows * fixed + sum(v for k, v in metrics.items() if k != "rows")
+    counts = pinned.agg(*seen).first()
+    return pinned, counts[0], counts[0] * fixed + sum(counts[1:])

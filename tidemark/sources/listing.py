@@ -43,7 +43,10 @@ def require_folder(spark: SparkSession, folder: str) -> None:
 
 
 def list_files(spark: SparkSession, folder: str, recursive: bool = False, supported_only: bool = True) -> DataFrame:
-    """``(path, length, modified, file_type)``; file contents are not read."""
+    """``(path, length, modified, file_type)``; file contents are not read.
+
+    Files of length zero hold no rows; Spark's file scan leaves them out.
+    """
     require_folder(spark, folder)
     reader = spark.read.format("binaryFile")
     if recursive:
