@@ -56,7 +56,7 @@ def test_null_safe_join_matches_null_keys_and_falls_back(spark, monkeypatch):
     right = spark.createDataFrame([("a", 10), (None, 20)], "k string, y int")
     want = {(1, 10), (2, 20), (3, None)}
     assert {(r["x"], r["y"]) for r in null_safe_join(left, right, ["k"]).collect()} == want
-    monkeypatch.setattr(joins.broadcast_if_small, "__defaults__", (0,))
+    monkeypatch.setattr(joins.broadcast_if_small, "__defaults__", (0, None))
     joined = null_safe_join(left, right, ["k"])
     assert {(r["x"], r["y"]) for r in joined.collect()} == want
     assert "hint" not in joined._jdf.queryExecution().logical().toString().lower()

@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
-from tidemark.functions.quantiles import quantiles
+from tidemark.functions.quantiles import approx_quantiles, quantiles
 from tidemark.operators.impute import impute_group_median, mask_and_score
 from tidemark.operators.profile import describe, stat_block
 from pyspark.sql import functions as F
@@ -46,6 +46,11 @@ def test_nearest_takes_a_value_of_the_column(spark):
     assert list(quantiles(df, "x", [0.3, 0.95], method="nearest").first()) == [2.0, 100.0]
 
 
+def test_approximate_quantiles(spark):
+    df = spark.range(100_000).withColumn("x", F.col("id").cast("double"))
+    assert list(approx_quantiles(df, "x", [0.25, 0.5]).first()) == pytest.approx([25_000, 50_000], abs=50)
+
+
 def test_empty_input_gives_one_null_row(spark):
     df = spark.createDataFrame([], "x double")
     assert quantiles(df, "x", [0.5]).collect()[0][0] is None

@@ -114,6 +114,17 @@ def quantile_rows(
     )
 
 
+def approx_quantiles(
+    df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), names: Sequence[str] | None = None,
+    accuracy: int = 10_000,
+) -> DataFrame:
+    """Sketch-based quantiles with rank error up to ``1/accuracy``: one pass, no sort, bounded state."""
+    names = list(names) if names else [f"q{p}" for p in probs]
+    x = F.col(f"`{value}`").cast("double")
+    sketch = F.percentile_approx(F.when(~F.isnan(x), x), [float(p) for p in probs], accuracy)
+    return df.groupBy(*by).agg(sketch.alias("__q")).select(*by, *[F.get("__q", F.lit(i)).alias(n) for i, n in enumerate(names)])
+
+
 def quantiles(
     df: DataFrame,
     value: str,

@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
+from tidemark.functions.joins import null_safe_join
 from tidemark.operators.aggregates import unique_flagged_values
 
 LATIN_1, UTF_8 = "ISO-8859-1", "UTF-8"
@@ -46,7 +47,7 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     shifts = per_block.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
     # rows of one split are consecutive within their task, so the sequence number gives the place in it
-    return tagged.join(shifts, ["path", "block"]).select(
+    return null_safe_join(tagged, shifts, ["path", "block"], "inner").select(
         "path", (F.col("before") + F.col("seq") - F.col("first") + 1).alias("line"), "value"
     )
 
@@ -153,7 +154,8 @@ def fix_encoding(spark: SparkSession, source: str, target: str, strategy: str =
         value = F.when(F.col("encoding") == "iso-8859-1", decode_from(F.col("value"), LATIN_1)).otherwise(
             F.make_valid_utf8(F.col("value"))
         )
-        lines = lines.join(detected.select("path", "encoding"), "path").select("path", value.alias("value"))
+        known = null_safe_join(lines, detected.select("path", "encoding"), ["path"], "inner")
+        lines = known.select("path", value.alias("value"))
     else:
         lines = lines.select("path", repair(F.col("value"), strategy).alias("value"))
     name = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "_utf8")

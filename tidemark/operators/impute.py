@@ -10,7 +10,7 @@ from tidemark.functions.joins import null_safe_join
 from tidemark.functions.quantiles import quantiles
 from tidemark.functions.scalars import relative_change_percent
 from tidemark.operators.profile import stat_block
-from tidemark.session import pin
+from tidemark.session import pin_measured
 
 
 def group_median_on_rows(df: DataFrame, value: str, by: Sequence[str], name: str) -> DataFrame:
@@ -18,8 +18,8 @@ def group_median_on_rows(df: DataFrame, value: str, by: Sequence[str], name: str
     return null_safe_join(df, quantiles(df, value, [0.5], by, [name]), list(by))
 
 
-def grouping_medians(df: DataFrame, value: str, groupings: Sequence[Sequence[str]]) -> DataFrame:
-    """Medians of several groupings in one pass: ``(__set, *key columns, __median)``.
+def grouping_medians(df: DataFrame, value: str, groupings: Sequence[Sequence[str]]) -> tuple[DataFrame, int]:
+    """Medians of several groupings in one pass, ``(__set, *key columns, __median)``, and their size in bytes.
 
     Like grouping sets, each row feeds one cell per grouping, with the unused key columns null; cells are
     combined before the shuffle. The empty grouping is the overall median.
@@ -30,14 +30,15 @@ def grouping_medians(df: DataFrame, value: str, groupings: Sequence[Sequence[str
         for i, by in enumerate(groupings)
     ]
     tall = df.select(F.col(value).alias("__value"), F.explode(F.array(*sets)).alias("s")).select("__value", "s.*")
-    return pin(quantiles(tall, "__value", [0.5], ["__set", *keys], ["__median"]))
+    pinned, _, size = pin_measured(quantiles(tall, "__value", [0.5], ["__set", *keys], ["__median"]))
+    return pinned, size
 
 
 def impute_group_median(df: DataFrame, value: str, by: Sequence[str], into: str | None = None) -> DataFrame:
     """Gaps become the group's median, or the overall median where the group has no value at all."""
-    medians = grouping_medians(df, value, [list(by), []])
+    medians, size = grouping_medians(df, value, [list(by), []])
     overall = medians.where("__set = 1").agg(F.max("__median")).scalar()
-    filled = null_safe_join(df, medians.where("__set = 0").drop("__set"), list(by))
+    filled = null_safe_join(df, medians.where("__set = 0").drop("__set"), list(by), size=size)
     return filled.withColumn(into or value, F.coalesce(F.col(value), F.col("__median"), overall)).drop("__median")
 
 
@@ -67,7 +68,7 @@ def compare_groupings(df: DataFrame, value: str, groupings: Sequence[Sequence[st
     pass over the table.
     """
     known = drop_missing(df, value).withColumn("__masked", masked)
-    medians = grouping_medians(known.where(~F.col("__masked")), value, [*groupings, []])
+    medians, size = grouping_medians(known.where(~F.col("__masked")), value, [*groupings, []])
     overall = medians.where(F.col("__set") == len(groupings)).agg(F.max("__median")).scalar()
     keys = [c for c in medians.columns if c not in ("__set", "__median")]
     sets = [
@@ -75,7 +76,7 @@ def compare_groupings(df: DataFrame, value: str, groupings: Sequence[Sequence[st
         for i, by in enumerate(groupings)
     ]
     hidden = known.where("__masked").select(F.col(value).alias("__truth"), F.explode(F.array(*sets)).alias("s"))
-    guessed = null_safe_join(hidden.select("__truth", "s.*"), medians, ["__set", *keys])
+    guessed = null_safe_join(hidden.select("__truth", "s.*"), medians, ["__set", *keys], size=size)
     error = F.coalesce(F.col("__median"), overall) - F.col("__truth")
     names = F.array(*[F.lit(", ".join(by)) for by in groupings])
     return (

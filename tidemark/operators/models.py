@@ -14,7 +14,7 @@ from tidemark.functions.missing import null_if_nan
 from tidemark.functions.quantiles import quantiles
 from tidemark.operators.outliers import histogram
 from tidemark.operators.profile import constant_columns, long_numbers
-from tidemark.session import pin
+from tidemark.session import pin, pin_for_reuse
 
 MODELS = {
     "linear": lambda: LinearRegression(maxIter=50),
@@ -73,7 +73,7 @@ def mice_impute(
     if not gaps:
         return df
     flagged = df.withColumns({f"__gap_{c}": F.col(c).isNull() for c in gaps})
-    current = pin(fill(flagged, column_fill(known, columns, "mean")))
+    current = pin_for_reuse(fill(flagged, column_fill(known, columns, "mean")))
     for _ in range(rounds):
         step = current.withColumns({f"__old_{c}": F.col(c) for c in gaps})
         for c in gaps:
@@ -131,12 +131,12 @@ def impute_model_grid(
     df: DataFrame, target: str, key: str, imputers: Sequence[str] = IMPUTERS, models: Sequence[str] = tuple(MODELS), rounds: int = 5
 ) -> DataFrame:
     """MAE, RMSE and R2 on held-out rows for every imputer and model."""
-    frame = pin(modelling_frame(df, target, [key]))
+    frame = pin_for_reuse(modelling_frame(df, target, [key]))
     features = [c for c in frame.columns if c not in (key, target)]
     test = is_test(F.col(key))
     scores = []
     for imputer in imputers:
-        filled = impute_features(frame, features, imputer, ~test, rounds)
+        filled = pin(impute_features(frame, features, imputer, ~test, rounds))
         train, held_out = filled.where(~test), filled.where(test)
         for model in models:
             fitted = fit_model(train, features, target, model)

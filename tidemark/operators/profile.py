@@ -21,8 +21,8 @@ def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(df.columns)))
 
 
-def per_column(df: DataFrame, measures: dict[str, tuple[str, list[tuple[str, Column]]]]) -> DataFrame:
-    """Aggregate many columns in one pass and return one row per column.
+def per_column(df: DataFrame, measures: dict[str, list[tuple[str, Column]]], by: Sequence[str] = ()) -> DataFrame:
+    """Aggregate many columns in one pass and return one row per column (and group).
 
     ``measures`` maps a column name to its list of ``(measure name, aggregate)``.
     """
@@ -30,8 +30,8 @@ def per_column(df: DataFrame, measures: dict[str, tuple[str, list[tuple[str, Col
         F.struct(F.lit(name).alias("column"), *[agg.alias(m) for m, agg in parts]).alias(f"c{i}")
         for i, (name, parts) in enumerate(measures.items())
     ]
-    wide = df.agg(*cells)
-    return wide.select(F.inline(F.array(*[F.col(f"c{i}") for i in range(len(cells))])))
+    wide = df.groupBy(*by).agg(*cells)
+    return wide.select(*by, F.inline(F.array(*[F.col(f"c{i}") for i in range(len(cells))])))
 
 
 def nonnull_percent(df: DataFrame) -> DataFrame:
@@ -78,18 +78,20 @@ def long_numbers(df: DataFrame, columns: Sequence[str], extra: Sequence[str] = (
 def describe(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
     """count, null_count, mean, std, min, quartiles and max per column (and per group)."""
     columns, by = list(columns or numeric_columns(df)), list(by)
-    tall = long_numbers(df, columns, by)
-    value = F.when(~F.isnan("value"), F.col("value"))
     keys = [*by, "column"]
-    basic = tall.groupBy(*keys).agg(
-        F.count(value).alias("count"),
-        F.count_if(value.isNull()).alias("null_count"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-    )
-    quartiles = quantiles(tall, "value", [0.25, 0.5, 0.75], keys, ["q25", "q50", "q75"])
+    measures = {}
+    for c in columns:
+        value = null_if_nan(df, c).cast("double")
+        measures[c] = [
+            ("count", F.count(value)),
+            ("null_count", F.count_if(is_missing(df, c))),
+            ("mean", F.avg(value)),
+            ("std", F.stddev_samp(value)),
+            ("min", F.min(value)),
+            ("max", F.max(value)),
+        ]
+    basic = per_column(df, measures, by)
+    quartiles = quantiles(long_numbers(df, columns, by), "value", [0.25, 0.5, 0.75], keys, ["q25", "q50", "q75"])
     return null_safe_join(basic, quartiles, keys)
 
 

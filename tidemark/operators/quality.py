@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.joins import null_safe_join
 from tidemark.functions.ordering import row_position
-from tidemark.session import pin
 
 
 def validation_log(df: DataFrame, key: str, rules: Mapping[str, tuple[str, Column]]) -> DataFrame:
@@ -46,7 +45,7 @@ def mark_duplicates(df: DataFrame, key: str, columns: Sequence[str]) -> DataFram
 
 def dimension(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
     """Distinct attribute rows with a surrogate key numbered in attribute order."""
-    return pin(row_position(df.select(*columns).distinct(), list(columns), key))
+    return row_position(df.select(*columns).distinct(), list(columns), key)
 
 
 def star_model(df: DataFrame, dimensions: Mapping[str, Sequence[str]]) -> tuple[DataFrame, dict[str, DataFrame]]:

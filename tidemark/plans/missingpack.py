@@ -127,6 +127,36 @@ def little_mcar(spark, sf_dir):
     return ms.little_mcar(three_gaps(spark, sf_dir), ["qty", "price", "tax", "l_discount"])
 
 
+COV_SQL = (
+    "o as (select avg(qty) as mq, avg(price) as mp, var_samp(qty) as vq, var_samp(price) as vp, "
+    f"covar_samp(qty, price) as vc from {DN_SQL})"
+)
+
+
+@query(
+    "little_mcar_pair",
+    f"with {COV_SQL}, g as (select qty is null as nq, price is null as np, count(*) as n, avg(qty) - any_value(mq) as dq, "
+    f"avg(price) - any_value(mp) as dp, any_value(vq) as vq, any_value(vp) as vp, any_value(vc) as vc from {DN_SQL}, o where qty is not null or price is not null group by all), "
+    "d as (select sum(n * case when nq then dp * dp / vp when np then dq * dq / vq else "
+    "(dq * dq * vp - 2 * dq * dp * vc + dp * dp * vq) / (vq * vp - vc * vc) end) as s from g) "
+    "select round(s, 3) as statistic, 2 as dof, round(exp(-s / 2), 6) as p_value from d",
+)
+def little_mcar_pair(spark, sf_dir):
+    out = ms.little_mcar(derived_nulls(spark, sf_dir), ["qty", "price"])
+    return rounded(rounded(out, 3, "statistic"), 6, "p_value")
+
+
+@query(
+    "missing_auc_single",
+    f"with g as (select l_quantity as s, count(*) filter (price is null) as pos, count(*) filter (price is not null) as neg "
+    f"from {DN_SQL} group by 1), r as (select *, coalesce(sum(neg) over (order by s rows between unbounded preceding and "
+    "1 preceding), 0) as below from g) select round(sum(pos * (below + neg / 2.0)) / (sum(pos)::double * sum(neg)), 6) as auc from r",
+)
+def missing_auc_single(spark, sf_dir):
+    """With one feature the model's ranking is the feature's own."""
+    return rounded(ms.missing_auc(derived_nulls(spark, sf_dir), "price", ["l_quantity"]), 6, "auc")
+
+
 @query("missing_auc")
 def missing_auc(spark, sf_dir):
     return ms.missing_auc(derived_nulls(spark, sf_dir), "price", ["qty", "l_discount", "p_size"])

@@ -77,6 +77,19 @@ def one_feature(spark, sf_dir):
     return derived_nulls(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "price", "l_extendedprice")
 
 
+@query(
+    "mice_one_gap",
+    "select count(filled) as rows, round(avg(filled), 2) as mean from (select coalesce(price, a + b * l_quantity) as filled "
+    f"from {DN_SQL}, {LINE_SQL})",
+)
+def mice_one_gap(spark, sf_dir):
+    """With one column to fill, the chain is a single regression."""
+    data = derived_nulls(spark, sf_dir).select("price", "l_quantity")
+    return md.mice_impute(data, ["price", "l_quantity"], rounds=3).agg(
+        F.count("price").alias("rows"), F.round(F.avg("price"), 2).alias("mean")
+    )
+
+
 @query(
     "predict_missing",
     f"select count(*) as predicted, round(avg(a + b * l_quantity), 2) as mean from {DN_SQL}, {LINE_SQL} where price is null",

@@ -21,6 +21,7 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.checkpoint.compress", "true")
     )
     if master:
         builder = builder.master(master)
@@ -60,6 +61,14 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def pin_for_reuse(df: DataFrame) -> DataFrame:
+    """``pin`` for frames that are read many times: one left in fewer partitions than there are cores (so a
+    small one) is dealt out over all of them."""
+    pinned = pin(df)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return pin(pinned.repartition(cores)) if pinned.rdd.getNumPartitions() < cores else pinned
+
+
 def pin_measured(df: DataFrame) -> tuple[DataFrame, int, int]:
     """``pin`` that also returns the row count and the size in bytes, measured on what was written."""
     pinned = pin(df)

@@ -16,6 +16,8 @@ from xml.etree import ElementTree as ET
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.functions.joins import null_safe_join
+
 CELL_SCHEMA = "path string, sheet_no int, sheet string, row_idx long, cells array<string>"
 NAME_SCHEMA = "path string, sheet_no int, sheet string"
 BATCH_ROWS = 5_000
@@ -177,7 +179,7 @@ def sheet_table(books: DataFrame, sheet: str, lineage: str | None = None) -> Dat
     ]
     names = list(dict.fromkeys(n for h in sorted(heads, key=str) for n in h if n is not None))
     header = read_cells(books, only=[sheet], first_row_only=True).select("path", F.col("cells").alias("header"))
-    body = read_cells(books, only=[sheet]).where("row_idx > 0").join(header, on="path", how="inner")
+    body = null_safe_join(read_cells(books, only=[sheet]).where("row_idx > 0"), header, ["path"], "inner")
     position = {n: F.array_position("header", n) for n in names}
     columns = [
         F.when(position[n] > 0, F.get("cells", (position[n] - 1).cast("int"))).alias(n) for n in names

@@ -50,12 +50,14 @@ def read_csv_text(spark: SparkSession, paths: Sequence[str], lineage: bool = Fal
     return diagonal_union(frames)
 
 
-def read_csv_lossy(spark: SparkSession, paths: str | Sequence[str], schema: str | None = None, escape: str = '"') -> DataFrame:
+def read_csv_lossy(spark: SparkSession, paths: str | Sequence[str], schema: str | None = None, escape: str = '"',
+                   multiline: bool = True) -> DataFrame:
     """Text columns; invalid UTF-8 becomes U+FFFD, surplus fields of a row are cut, quoted newlines are kept.
 
-    Files without a header line need a ``schema``.
+    Files without a header line need a ``schema``. Quoted newlines keep a file from being split, so turn
+    ``multiline`` off for large files without them.
     """
-    reader = spark.read.option("multiLine", "true").option("escape", escape).option("header", str(schema is None).lower())
+    reader = spark.read.option("multiLine", str(multiline).lower()).option("escape", escape).option("header", str(schema is None).lower())
     return (reader.schema(schema) if schema else reader).csv(as_list(paths))
 
 
