@@ -119,7 +119,7 @@ def approx_quantiles(
     accuracy: int = 10_000,
 ) -> DataFrame:
     """Sketch-based quantiles with rank error up to ``1/accuracy``: one pass, no sort, bounded state."""
-    names = list(names) if names else [f"q{p}" for p in probs]
+    names = list(names) if names else [f"q{p:g}".replace(".", "_") for p in probs]
     x = F.col(f"`{value}`").cast("double")
     sketch = F.percentile_approx(F.when(~F.isnan(x), x), [float(p) for p in probs], accuracy)
     return df.groupBy(*by).agg(sketch.alias("__q")).select(*by, *[F.get("__q", F.lit(i)).alias(n) for i, n in enumerate(names)])
@@ -135,7 +135,7 @@ def quantiles(
 ) -> DataFrame:
     """Wide form: one row per group with a column per probability. Groups without values are absent;
     without ``by`` there is always exactly one row."""
-    names = list(names) if names else [f"q{p}" for p in probs]
+    names = list(names) if names else [f"q{p:g}".replace(".", "_") for p in probs]
     rows = quantile_rows(df, value, probs, by, method)
     picks = [F.max(F.when(F.col("prob_idx") == i, F.col("quantile"))).alias(n) for i, n in enumerate(names)]
     return rows.groupBy(*by).agg(*picks)

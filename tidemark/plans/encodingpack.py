@@ -100,11 +100,17 @@ def reencode(spark, sf_dir):
     return lines.select(F.get(parts, F.lit(0)).cast("bigint").alias("doc_id"), F.get(parts, F.lit(1)).alias("text"))
 
 
-@query("reencode_cp1252", f"select doc_id, {SQL_LINE} as text from documents where {SQL_LATIN} and not regexp_matches(text, '[\\x{{80}}-\\x{{9F}}]')")
+@query("reencode_cp1252", f"select doc_id, {SQL_LINE} as text from documents")
 def reencode_cp1252(spark, sf_dir):
-    docs = documents(spark, sf_dir).where(F.col("text").rlike(LATIN) & ~F.col("text").rlike(r"[\x80-\x9F]"))
-    stored = docs.select("doc_id", F.encode(one_line(), en.LATIN_1).cast("string").alias("value"))
-    return stored.select("doc_id", en.decode_from(F.col("value"), "cp1252").alias("text"))
+    """Texts that windows-1252 can hold are stored in it, the others in UTF-8; all come back whole."""
+    fits = F.col("text").rlike(LATIN) & ~F.col("text").rlike(r"[\x80-\x9F]")
+    docs = documents(spark, sf_dir).withColumn("text", one_line()).withColumn("fits", fits)
+    stored = F.when(F.col("fits"), F.encode(F.when(F.col("fits"), F.col("text")), en.LATIN_1)).otherwise(F.encode("text", en.UTF_8))
+    lines = docs.select("doc_id", "fits", stored.cast("string").alias("value"))
+    value = F.col("value")
+    return lines.select(
+        "doc_id", F.when(F.col("fits"), en.decode_from(value, "cp1252")).otherwise(en.decode_from(value, "utf-8")).alias("text")
+    )
 
 
 @query(

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def build_session(app_name: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators are written for.
 
@@ -40,9 +43,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _LOCAL_FOLDERS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
