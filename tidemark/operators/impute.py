@@ -46,16 +46,29 @@ def drop_missing(df: DataFrame, value: str) -> DataFrame:
     return df.where(F.col(value).isNotNull())
 
 
+def both_variants(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+    """``(variant, value)``: the column after dropping gaps and after imputing them."""
+    filled = impute_group_median(df, value, by, "__filled")
+    tall = filled.select(
+        F.inline(
+            F.array(
+                F.struct(F.lit("drop").alias("variant"), F.col(value).alias("value")),
+                F.struct(F.lit("impute").alias("variant"), F.col("__filled").alias("value")),
+            )
+        )
+    )
+    return drop_missing(tall, "value")
+
+
 def drop_vs_impute(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     """mean, median, std and p95 after dropping and after imputing, side by side with their change in percent."""
-    dropped = stat_block(drop_missing(df, value), value)
-    imputed = stat_block(impute_group_median(df, value, by), value)
     names = ["mean", "median", "std", "p95"]
-    right = imputed.select(F.struct(*names)).scalar()
-    both = dropped.withColumn("__imputed", right).select(
-        *names, *[F.col(f"__imputed.{n}").alias(f"{n}_impute") for n in names]
+    blocks = stat_block(both_variants(df, value, by), "value", ["variant"])
+    side_by_side = blocks.agg(
+        *[F.max(F.when(F.col("variant") == "drop", F.col(n))).alias(n) for n in names],
+        *[F.max(F.when(F.col("variant") == "impute", F.col(n))).alias(f"{n}_impute") for n in names],
     )
-    return both.select(
+    return side_by_side.select(
         "*",
         *[relative_change_percent(F.col(n), F.col(f"{n}_impute")).alias(f"{n}_change_percent") for n in names],
     )
@@ -111,16 +124,15 @@ def simple_imputations(df: DataFrame, value: str) -> DataFrame:
 def sensitivity(df: DataFrame, value: str, by: Sequence[str], factors: Mapping[str, float]) -> DataFrame:
     """Statistics of the column when imputed values are scaled, or replaced by the worst or best known value."""
     known = F.col(value)
-    ends = df.agg(F.min(value).alias("low"), F.max(value).alias("high"))
-    low, high = ends.select("low").scalar(), ends.select("high").scalar()
-    imputed = impute_group_median(df, value, by, "__filled")
+    ends = df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
+    imputed = impute_group_median(df, value, by, "__filled").withColumn("__ends", ends)
     scenarios = [
         F.struct(F.lit(n).alias("scenario"), F.coalesce(known, F.col("__filled") * F.lit(f)).alias("value"))
         for n, f in factors.items()
     ]
     scenarios += [
-        F.struct(F.lit("lowest").alias("scenario"), F.coalesce(known, low).alias("value")),
-        F.struct(F.lit("highest").alias("scenario"), F.coalesce(known, high).alias("value")),
+        F.struct(F.lit("lowest").alias("scenario"), F.coalesce(known, F.col("__ends.low")).alias("value")),
+        F.struct(F.lit("highest").alias("scenario"), F.coalesce(known, F.col("__ends.high")).alias("value")),
     ]
     tall = imputed.select(F.inline(F.array(*scenarios)))
     return stat_block(tall, "value", ["scenario"])

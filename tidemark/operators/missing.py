@@ -17,7 +17,7 @@ from tidemark.functions.missing import is_missing, null_if_nan
 from tidemark.functions.ordering import running_total
 from tidemark.functions.quantiles import quantiles
 from tidemark.operators.aggregates import percent_by_group
-from tidemark.operators.profile import correlation, per_column
+from tidemark.operators.profile import correlation
 
 PAIRS_PER_PASS = 400
 

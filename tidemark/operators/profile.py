@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.joins import null_safe_join
-from tidemark.functions.missing import columns_of, is_missing, null_if_nan, numeric_columns  # noqa: F401
+from tidemark.functions.missing import is_missing, null_if_nan, numeric_columns
 from tidemark.functions.quantiles import quantile_rows, quantiles
 
 

@@ -42,7 +42,7 @@ def damaged_file(spark, sf_dir):
 
 @query(
     "non_utf8_lines",
-    "select doc_id, pos as start, pos + 1 as \"end\", printf('%02x', unicode(c)) as bad_bytes from (select doc_id, c, "
+    "select doc_id, pos::int as start, (pos + 1)::int as \"end\", printf('%02x', unicode(c)) as bad_bytes from (select doc_id, c, "
     f"length(cast(doc_id as varchar)) + strpos(t, c) as pos from (select doc_id, {SQL_LINE} as t, "
     "regexp_extract(text, '[\\x{80}-\\x{FF}]') as c from documents "
     f"where {DAMAGED_SQL}))",

@@ -382,7 +382,7 @@ def sheet_rows(spark, sf_dir):
 
 
 SHEET_SQL = (
-    "(select p_brand as \"group\", '/in/' || p_partkey as path, n - 1 as sheet_no, n, 'Sheet ' || n as sheet "
+    "(select p_brand as \"group\", '/in/' || p_partkey as path, (n - 1)::int as sheet_no, n, 'Sheet ' || n as sheet "
     "from part, unnest(range(1, 11 + p_size % 3)) t(n))"
 )
 

@@ -77,16 +77,8 @@ PROBS = [0.1, 0.25, 0.5, 0.75, 0.9, 0.95]
     ),
 )
 def impute_quantiles(spark, sf_dir):
-    dn = gaps(spark, sf_dir)
-    filled = im.impute_group_median(dn, "qty", GROUP, "filled").select(
-        F.inline(
-            F.array(
-                F.struct(F.lit("drop").alias("variant"), F.col("qty").alias("v")),
-                F.struct(F.lit("impute").alias("variant"), F.col("filled").alias("v")),
-            )
-        )
-    )
-    return rounded(pf.quantile_list(filled, "v", PROBS, ["variant"]), 6, "quantile")
+    both = im.both_variants(gaps(spark, sf_dir), "qty", GROUP)
+    return rounded(pf.quantile_list(both, "value", PROBS, ["variant"]), 6, "quantile")
 
 
 @query(

@@ -139,7 +139,7 @@ COV_SQL = (
     f"avg(price) - any_value(mp) as dp, any_value(vq) as vq, any_value(vp) as vp, any_value(vc) as vc from {DN_SQL}, o where qty is not null or price is not null group by all), "
     "d as (select sum(n * case when nq then dp * dp / vp when np then dq * dq / vq else "
     "(dq * dq * vp - 2 * dq * dp * vc + dp * dp * vq) / (vq * vp - vc * vc) end) as s from g) "
-    "select round(s, 3) as statistic, 2 as dof, round(exp(-s / 2), 6) as p_value from d",
+    "select round(s, 3) as statistic, 2::bigint as dof, round(exp(-s / 2), 6) as p_value from d",
 )
 def little_mcar_pair(spark, sf_dir):
     out = ms.little_mcar(derived_nulls(spark, sf_dir), ["qty", "price"])

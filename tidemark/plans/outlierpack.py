@@ -58,7 +58,7 @@ def validity_split(spark, sf_dir):
 
 @query(
     "year_out_of_range",
-    "select year(o_orderdate) as value, count(*) as count, round(100.0 * count(*) / (select count(*) from orders), 4) as percent "
+    "select year(o_orderdate)::int as value, count(*) as count, round(100.0 * count(*) / (select count(*) from orders), 4) as percent "
     "from orders where not (year(o_orderdate) between 1994 and 1997) group by 1",
 )
 def year_out_of_range(spark, sf_dir):

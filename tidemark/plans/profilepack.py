@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.operators import impute as im
 from tidemark.operators import profile as pf
 from tidemark.plans.registry import DN_SQL, derived_nulls, query, rounded, table
 
@@ -180,8 +181,6 @@ def shape_moments(spark, sf_dir):
     "from orders",
 )
 def group_median_on_rows(spark, sf_dir):
-    from tidemark.operators.impute import group_median_on_rows as on_rows
-
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
-    out = on_rows(orders, "o_totalprice", ["o_orderpriority"], "group_median").drop("o_totalprice")
+    out = im.group_median_on_rows(orders, "o_totalprice", ["o_orderpriority"], "group_median").drop("o_totalprice")
     return rounded(out, 4, "group_median")

@@ -35,7 +35,7 @@ SAMPLE_SQL = (
 LINES_SQL = (
     f"(select *, {SAMPLE_SQL} as sample, coalesce(string_split(line, '_')[2], '') as error_type, "
     "coalesce(string_split(line, '_')[3], '') as message from (select *, unnest(string_split(comment, chr(10))) as line, "
-    f"generate_subscripts(string_split(comment, chr(10)), 1) - 1 as line_no from {COMMENT_SQL}))"
+    f"generate_subscripts(string_split(comment, chr(10)), 1)::int - 1 as line_no from {COMMENT_SQL}))"
 )
 
 

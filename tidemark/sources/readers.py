@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -115,8 +116,6 @@ def reencode(spark: SparkSession, source: str, target: str, codec: str = "zstd")
 
 def register_views(spark: SparkSession, tables: dict[str, str]) -> list[str]:
     """Temporary views over Parquet folders; names are made safe for SQL."""
-    import re
-
     names = []
     for name, path in tables.items():
         safe = re.sub(r"\W+", "_", name)
