@@ -57,6 +57,15 @@ def test_csv_typed_infers(spark, folder):
     assert dict(readers.read_csv(spark, path, infer=True).dtypes) == {"x": "int", "y": "string"}
 
 
+def test_inferred_types_need_every_value(spark):
+    df = spark.createDataFrame(
+        [("1", "1.5", "true", "2024-01-02", "1", None, 7), ("2", "3", "false", "2024-01-02 03:04:05", "x", None, 8), (None,) * 7],
+        "i string, d string, b string, t string, m string, n string, k int",
+    )
+    got = dict(readers.infer_types(df).dtypes)
+    assert got == {"i": "bigint", "d": "double", "b": "boolean", "t": "timestamp", "m": "string", "n": "string", "k": "int"}
+
+
 def test_lossy_csv(spark, folder):
     path = put(folder, "a.csv", b'x,y\n1,caf\xe9,extra\n2,"two\nlines"\n')
     rows = readers.read_csv_lossy(spark, path).collect()

@@ -165,6 +165,11 @@ def excel_sheets(spark, sf_dir):
     return excel.sheet_table(part_workbooks(spark, sf_dir), "Part")
 
 
+@query("excel_typed", "select p_partkey, p_name, p_brand, p_type, p_size::bigint as p_size, p_retailprice from part")
+def excel_typed(spark, sf_dir):
+    return readers.infer_types(excel.sheet_table(part_workbooks(spark, sf_dir), "Part"))
+
+
 @query(
     "excel_sheet_names",
     "select 'mem/part_' || cast(floor(p_partkey / 500) as bigint) || '.xlsx' as path, unnest([0, 2]) as sheet_no, "

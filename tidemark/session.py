@@ -14,8 +14,8 @@ _LOCAL_FOLDERS: dict[str, str] = {}
 def build_session(app_name: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators are written for.
 
-    A cluster keeps its own master, memory and shuffle settings; only semantics (ANSI, UTC) and adaptive
-    execution are set here.
+    A cluster keeps its own master, memory and shuffle settings; only semantics (ANSI, UTC), adaptive
+    execution and the handling of checkpoint files (compressed, removed once unused) are set here.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -25,6 +25,7 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.checkpoint.compress", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)

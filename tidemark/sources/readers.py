@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.functions.missing import string_columns
 from tidemark.operators.unions import diagonal_union
 from tidemark.sources.listing import chunks
 
@@ -100,6 +101,26 @@ def read_json(spark: SparkSession, paths: Sequence[str], schema: str | None = No
     return diagonal_union(frames)
 
 
+def infer_types(df: DataFrame) -> DataFrame:
+    """Text columns as bigint, double, boolean or timestamp where every value fits, else left as text.
+
+    One aggregate decides for all columns, over all rows.
+    """
+    kinds = ["bigint", "double", "boolean", "timestamp"]
+    texts = string_columns(df)
+    if not texts:
+        return df
+    fits = {(c, k): F.count(F.col(f"`{c}`").try_cast(k)) for c in texts for k in kinds}
+    present = {c: F.count(F.col(f"`{c}`")) for c in texts}
+    row = df.agg(
+        *[n.alias(f"n{i}") for i, n in enumerate(present.values())], *[n.alias(f"f{i}") for i, n in enumerate(fits.values())]
+    ).first()
+    filled = dict(zip(texts, row[: len(texts)]))
+    counts = dict(zip(fits, row[len(texts) :]))
+    target = {c: next((k for k in kinds if filled[c] and counts[c, k] == filled[c]), "string") for c in texts}
+    return df.select(*[F.col(f"`{c}`").cast(target[c]).alias(c) if c in target else F.col(f"`{c}`") for c in df.columns])
+
+
 def with_source(df: DataFrame, name: str = SOURCE_COLUMN) -> DataFrame:
     """Add the name of the file each row came from."""
     return df.select("*", F.col("_metadata.file_name").alias(name))
