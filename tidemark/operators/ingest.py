@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor, as_completed
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -60,46 +61,53 @@ def convert_group(
     return done
 
 
+def _convert_task(
+    spark: SparkSession, config: GroupConfig, group: list[tuple[str, str]], output: str, run_id: str, fmt: str, options: WriteOptions
+) -> tuple:
+    """Convert one group and describe the attempt as a manifest row; a failure is recorded, not raised."""
+    started, clock = dt.datetime.now(dt.timezone.utc), time.perf_counter()
+    status, error, done = mf.SUCCESS, None, []
+    try:
+        books = [p for p, kind in group if kind == "excel"]
+        sheets = []
+        if books:
+            named = excel.sheet_names(excel.workbooks(spark, books), config.ignore_sheets)
+            shared = common_sheets(named.select(F.lit(config.name).alias("group"), "path", "sheet"))
+            sheets = [r["sheet"] for r in shared.orderBy("ord").collect()]
+        done = convert_group(spark, config.name, group, sheets, output, fmt, options)
+    except Exception as failure:  # the other groups go on
+        status, error = mf.FAILED, str(failure)[:2000]
+    results = [
+        (inputs, facts.output, sheet, facts.schema, facts.rows, facts.columns, facts.size_mb) for inputs, sheet, facts in done
+    ]
+    return (
+        run_id, config.name, status, started, dt.datetime.now(dt.timezone.utc), round(time.perf_counter() - clock, 4),
+        error, len(group), sum(f.written for _, _, f in done), 0, results,
+    )
+
+
 def convert_folder(
     spark: SparkSession, folder: str, configs: Sequence[GroupConfig], output: str, manifest: str, run_id: str,
-    fmt: str = "parquet", options: WriteOptions = WriteOptions(deduplicate=True),
+    fmt: str = "parquet", options: WriteOptions = WriteOptions(deduplicate=True), at_once: int = 4,
 ) -> DataFrame:
     """Convert every configured group that has not succeeded before; returns the manifest.
 
-    The loop visits groups (names and paths only); each group is one distributed read and write. A failure
-    is recorded as such and does not stop the others.
+    Groups are independent Spark jobs, ``at_once`` of them submitted together so that small ones do not
+    leave the cluster idle. The manifest grows as each one ends, so an interrupted run keeps what it finished.
     """
     files = group_by_config(list_files(spark, folder), configs)
     tasks = files.select(F.col("group").alias("task_id")).distinct()
-    todo = {r["task_id"] for r in mf.unfinished(tasks, mf.load_manifest(spark, manifest)).collect()}
+    todo = [r["task_id"] for r in mf.unfinished(tasks, mf.load_manifest(spark, manifest)).collect()]
     members: dict[str, list[tuple[str, str]]] = {}
-    for r in files.where(F.col("group").isin(*todo)).select("group", "path", "file_type").collect() if todo else []:
-        members.setdefault(r["group"], []).append((r["path"], r["file_type"]))
-    for config in configs:
-        if config.name not in members:
-            continue
-        group = sorted(members[config.name])
-        started, clock = dt.datetime.now(dt.timezone.utc), time.perf_counter()
-        status, error, done = mf.SUCCESS, None, []
-        try:
-            books = [p for p, kind in group if kind == "excel"]
-            sheets = []
-            if books:
-                named = excel.sheet_names(excel.workbooks(spark, books), config.ignore_sheets)
-                shared = common_sheets(named.select(F.lit(config.name).alias("group"), "path", "sheet"))
-                sheets = [r["sheet"] for r in shared.orderBy("ord").collect()]
-            done = convert_group(spark, config.name, group, sheets, output, fmt, options)
-        except Exception as failure:  # recorded, the other groups go on
-            status, error = mf.FAILED, str(failure)[:2000]
-        results = [
-            (inputs, facts.output, sheet, facts.schema, facts.rows, facts.columns, facts.size_mb) for inputs, sheet, facts in done
+    if todo:
+        for r in files.where(F.col("group").isin(*todo)).select("group", "path", "file_type").collect():
+            members.setdefault(r["group"], []).append((r["path"], r["file_type"]))
+    with ThreadPoolExecutor(at_once) as pool:
+        running = [
+            pool.submit(_convert_task, spark, config, sorted(members[config.name]), output, run_id, fmt, options)
+            for config in configs
+            if config.name in members
         ]
-        mf.append_manifest(
-            spark,
-            manifest,
-            [(
-                run_id, config.name, status, started, dt.datetime.now(dt.timezone.utc), round(time.perf_counter() - clock, 4),
-                error, len(group), sum(f.written for _, _, f in done), 0, results,
-            )],
-        )
+        for finished in as_completed(running):
+            mf.append_manifest(spark, manifest, [finished.result()])
     return mf.load_manifest(spark, manifest)
