@@ -55,13 +55,13 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def percent_by_group(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Group counts with their share of all rows; null keys form a group."""
-    total = df.agg(F.count(F.lit(1)).alias("rows")).scalar()
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("len"))
-        .withColumn("percent", F.try_divide(F.col("len") * F.lit(100.0), total))
-    )
+    """Group counts with their share of all rows; null keys form a group.
+
+    The total is summed from the counts, so both share one scan and one shuffle.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("len"))
+    total = counts.agg(F.sum("len").alias("rows")).scalar()
+    return counts.withColumn("percent", F.try_divide(F.col("len") * F.lit(100.0), total))
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:

@@ -33,14 +33,10 @@ def range_to_null(
 
 def out_of_range_counts(df: DataFrame, value: Column, low: float, high: float) -> DataFrame:
     """Rows per value outside ``[low, high]``, with their share of all rows."""
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return (
-        df.select(value.alias("value"))
-        .where(~F.col("value").between(low, high))
-        .groupBy("value")
-        .agg(F.count(F.lit(1)).alias("count"))
-        .withColumn("percent", F.col("count") * F.lit(100.0) / total)
-    )
+    counts = df.select(value.alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("count"))
+    total = counts.agg(F.sum("count").alias("n")).scalar()
+    outside = counts.where(~F.col("value").between(low, high))
+    return outside.withColumn("percent", F.col("count") * F.lit(100.0) / total)
 
 
 def threshold_sweep(df: DataFrame, column: str, thresholds: Sequence[float]) -> DataFrame:
