@@ -10,10 +10,11 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.functions.joins import null_safe_join
 from tidemark.functions.missing import null_if_nan
-from tidemark.functions.quantiles import quantiles
+from tidemark.functions.quantiles import column_quantiles
 from tidemark.operators.outliers import histogram
-from tidemark.operators.profile import constant_columns, long_numbers
+from tidemark.operators.profile import constant_columns, per_column
 from tidemark.session import pin, pin_for_reuse
 
 MODELS = {
@@ -48,7 +49,7 @@ def column_fill(df: DataFrame, columns: Sequence[str], strategy: str) -> dict[st
     if strategy == "mean":
         row = df.agg(*[F.avg(c).alias(c) for c in columns]).first()
         return {c: row[c] for c in columns}
-    rows = quantiles(long_numbers(df, columns), "value", [0.5], ["column"], ["median"]).collect()
+    rows = column_quantiles(df, columns, [0.5], ["median"]).collect()
     return {r["column"]: r["median"] for r in rows}
 
 
@@ -156,10 +157,8 @@ def predict_missing(df: DataFrame, target: str, features: Sequence[str], model:
 def prediction_shift(df: DataFrame, a: str, b: str) -> DataFrame:
     """Mean and median of two predictions and of their difference."""
     both = df.select(F.col(a).alias("a"), F.col(b).alias("b"), (F.col(b) - F.col(a)).alias("difference"))
-    tall = long_numbers(both, ["a", "b", "difference"])
-    return quantiles(tall, "value", [0.5], ["column"], ["median"]).join(
-        tall.groupBy("column").agg(F.avg("value").alias("mean")), "column"
-    )
+    means = per_column(both, {c: [("mean", F.avg(c))] for c in both.columns})
+    return null_safe_join(means, column_quantiles(both, both.columns, [0.5], ["median"]), ["column"])
 
 
 def residual_rows(df: DataFrame, actual: str, predicted: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.joins import null_safe_join
 from tidemark.functions.missing import is_missing, null_if_nan, numeric_columns
-from tidemark.functions.quantiles import quantile_rows, quantiles
+from tidemark.functions.quantiles import column_quantiles, quantile_rows, quantiles
 
 
 def schema_table(df: DataFrame) -> DataFrame:
@@ -68,13 +68,6 @@ def null_report(df: DataFrame, digits: int = 2) -> DataFrame:
     )
 
 
-def long_numbers(df: DataFrame, columns: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
-    """``(*extra, column, value double)`` rows for the given numeric columns."""
-    return df.select(
-        *[F.col(f"`{e}`") for e in extra], *[F.col(f"`{c}`").cast("double").alias(c) for c in columns]
-    ).unpivot(list(extra), list(columns), "column", "value")
-
-
 def describe(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
     """count, null_count, mean, std, min, quartiles and max per column (and per group)."""
     columns, by = list(columns or numeric_columns(df)), list(by)
@@ -91,7 +84,7 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[s
             ("max", F.max(value)),
         ]
     basic = per_column(df, measures, by)
-    quartiles = quantiles(long_numbers(df, columns, by), "value", [0.25, 0.5, 0.75], keys, ["q25", "q50", "q75"])
+    quartiles = column_quantiles(df, columns, [0.25, 0.5, 0.75], ["q25", "q50", "q75"], by)
     return null_safe_join(basic, quartiles, keys)
 
 
