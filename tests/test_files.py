@@ -82,6 +82,19 @@ def test_json_layouts(spark, folder):
         readers.read_json(spark, [put(folder, "empty.json", " \n")])
 
 
+def test_json_arrays_split_by_line(spark, folder):
+    tidy = [
+        put(folder, "a.json", '[\n  {"a": 1, "b": "x],[y"},\n  {"a": 2, "b": null}\n]\n'), put(folder, "b.json", '[{"a": 3},\n{"a": 4}]'),
+        put(folder, "c d.json", '[{"a": 5}]'),
+    ]
+    rough = [put(folder, "d.json", '[{"a": 6}, {"a": 7}]'), put(folder, "e.json", '[{"a":\n 8}]')]
+    whole = {r["path"].rsplit("/", 1)[1]: r["t"] for r in readers.array_lines(spark, tidy + rough).groupBy("path").agg(F.bool_and("whole").alias("t")).collect()}
+    assert {k for k, v in whole.items() if v} == {"a.json", "b.json", "c%20d.json"}
+    got = sorted((r["a"], r["b"]) for r in readers.read_json(spark, tidy + rough, "a int, b string").collect())
+    assert got == [(1, "x],[y")] + [(i, None) for i in range(2, 9)]
+    assert sorted(r["a"] for r in readers.read_json(spark, tidy + rough).collect()) == list(range(1, 9))
+
+
 def office_workbook():
     """Shared strings, a date style, a boolean, an error cell and a gap, as office programs write them."""
     main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'

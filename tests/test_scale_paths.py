@@ -35,3 +35,33 @@ def test_same_result(spark, large_data_paths, name):
     columns, got = normal(frame.columns, [tuple(r) for r in frame.collect()])
     reference = con.execute(oracle_sql()[name])
     assert (columns, got) == normal([d[0] for d in reference.description], reference.fetchall())
+
+
+def test_hot_key_is_split_in_a_shuffled_join(spark, monkeypatch):
+    """Without a broadcast, a key with a third of the rows is dealt out to several tasks."""
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.aggregates import group_total_on_rows
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+    }
+    monkeypatch.setattr(joins.broadcast_if_small, "__defaults__", (0, None))
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(400_000, numPartitions=8).select(
+            "id", F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"), F.lit(1.0).alias("x")
+        )
+        out = group_total_on_rows(df, "k", "x", "total")
+        assert out.agg(F.max("total")).first()[0] == df.where("k = 0").count()
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

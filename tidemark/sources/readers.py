@@ -92,12 +92,57 @@ def json_layouts(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[st
     return found
 
 
+def array_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``(path, object, whole)`` per line of JSON array files; ``whole`` when the line is one object, its
+    separators and the array's brackets aside, or has nothing else on it."""
+    line = F.trim(F.regexp_replace("value", BOM, ""))
+    item = F.regexp_extract(line, r"^\[?\s*(\{.*\})\s*,?\s*\]?$", 1)
+    # parsed as a list, so that a second object on the line shows up instead of being ignored
+    parsed = F.try_parse_json(F.concat(F.lit("["), item, F.lit("]")))
+    single = parsed.isNotNull() & F.try_variant_get(parsed, "$[1]", "variant").isNull()
+    return spark.read.text(list(paths)).select(
+        F.col("_metadata.file_path").alias("path"),
+        item.alias("object"),
+        F.when(item == "", line.rlike(r"^[\[\],\s]*$")).otherwise(single).alias("whole"),
+    )
+
+
+def read_json_arrays(spark: SparkSession, paths: Sequence[str], schema: str | None = None) -> DataFrame:
+    """JSON array files. With a ``schema``, files that keep one object per line are read split by line; the
+    others, and all files without a schema, take one task per file."""
+    paths = as_list(paths)
+    frames = []
+    if schema:
+        lines = array_lines(spark, paths)
+        tidy = lines.groupBy("path").agg(F.bool_and("whole").alias("tidy")).where("tidy")
+        found = {r["path"] for r in tidy.select("path").collect()}
+        split = [p for p in paths if _as_uri(spark, p) in found]
+        if split:
+            objects = array_lines(spark, split).where(F.col("object") != "")
+            frames.append(objects.select(F.from_json("object", schema).alias("o")).select("o.*"))
+        paths = [p for p in paths if p not in set(split)]
+    if paths:
+        reader = spark.read.schema(schema) if schema else spark.read
+        frames.append(reader.option("multiLine", "true").json(paths))
+    return diagonal_union(frames)
+
+
+def _as_uri(spark: SparkSession, path: str) -> str:
+    """The path as ``_metadata.file_path`` shows it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toUri().toString()
+    return uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file:///") else uri
+
+
 def read_json(spark: SparkSession, paths: Sequence[str], schema: str | None = None) -> DataFrame:
-    """JSON files of any layout, stacked by column name. Arrays and spread-out objects are one task per file."""
+    """JSON files of any layout, stacked by column name. A spread-out object is one task per file."""
     frames = []
     for layout, group in sorted(json_layouts(spark, paths).items()):
+        if layout == "array":
+            frames.append(read_json_arrays(spark, sorted(group), schema))
+            continue
         reader = spark.read.schema(schema) if schema else spark.read
-        frames.append(reader.option("multiLine", str(layout != "lines").lower()).json(sorted(group)))
+        frames.append(reader.option("multiLine", str(layout == "object").lower()).json(sorted(group)))
     return diagonal_union(frames)
 
 
