@@ -141,6 +141,24 @@ def test_write_facts_and_skips(spark, folder):
     assert not os.path.exists(folder + "/none")
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "csv", "json"])
+def test_row_facts_per_format(spark, folder, fmt):
+    df = spark.createDataFrame([("a\nb",), (None,), ("c",)], "x string")
+    assert wr.write(df, f"{folder}/{fmt}", fmt).rows == 3
+
+
+def test_logistic_model_still_runs_after_writing(spark, folder):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    wr.write(spark.range(3), folder + "/out")
+    frame = VectorAssembler(inputCols=["id"], outputCol="features").transform(spark.range(100)).withColumn(
+        "label", (F.col("id") > 50).cast("double")
+    )
+    assert LogisticRegression(maxIter=5).fit(frame).transform(frame).select("prediction").count() == 100
+    assert len(LogisticRegression(maxIter=5).fit(frame).transform(frame).select("prediction").collect()) == 100
+
+
 def test_names():
     assert wr.table_name("Part list/1") == "Part_list_1" and wr.table_name(None) == "data"
     assert wr.safe_name("a/b\\c ") == "a_b_c"

@@ -141,3 +141,12 @@ def test_model_grid_scores_every_pair(spark):
     rows = md.impute_model_grid(df, "y", "id", rounds=2, models=["linear"]).collect()
     assert {(r["imputer"], r["model"]) for r in rows} == {(i, "linear") for i in md.IMPUTERS}
     assert all(r["r2"] > 0.9 for r in rows)
+
+
+def test_summarize_small_frame(spark):
+    df = spark.createDataFrame([(1.0, "b"), (2.0, "a"), (float("nan"), None), (4.0, "a")], "x double, s string")
+    got = {r["column"]: r for r in pf.summarize(df).collect()}
+    x, s = got["x"], got["s"]
+    assert (x["dtype"], x["min"], x["max"], x["approx_unique"], x["q50"], x["count"], x["null_percent"]) == (
+        "double", "1.0", "4.0", 3, 2.0, 4, 25.0)
+    assert (s["min"], s["max"], s["approx_unique"], s["avg"], s["q50"], s["null_percent"]) == ("a", "b", 2, None, None, 25.0)

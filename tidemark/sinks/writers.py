@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 SUFFIX = {"parquet": "parquet", "csv": "csv", "json": "json"}
 
@@ -56,12 +56,26 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target) and files.getContentSummary(target).getLength() > 0
 
 
+def written_rows(out: DataFrame, path: str, fmt: str) -> int:
+    """Rows of a finished output: from Parquet footers, or lines of JSON. A CSV reader drops blank lines, so
+    there the table itself is counted once more.
+
+    An ``Observation`` would count while writing, but a Spark 4.1 session that has used one cannot run a
+    freshly fitted logistic model any more.
+    """
+    if fmt == "parquet":
+        return out.sparkSession.read.parquet(path).count()
+    if fmt == "json":
+        return out.sparkSession.read.text(path).count()
+    return out.count()
+
+
 def write(
     df: DataFrame, path: str, fmt: str = "parquet", options: WriteOptions = WriteOptions(), skip_existing: bool = False
 ) -> OutputFacts:
     """Write a table and report rows, columns, schema and size.
 
-    Empty tables are not written. Rows are counted while writing, so the plan runs once.
+    Empty tables are not written.
     """
     spark = df.sparkSession
     facts = OutputFacts(path)
@@ -70,8 +84,7 @@ def write(
     if df.isEmpty():
         return facts
     out = df.dropDuplicates() if options.deduplicate else df
-    counted = Observation()
-    writer = out.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    writer = out.write.mode("overwrite")
     if options.rows_per_file:
         writer = writer.option("maxRecordsPerFile", options.rows_per_file)
     if options.partition_by:
@@ -84,7 +97,7 @@ def write(
         writer.option("ignoreNullFields", "false").json(path)
     else:
         raise ValueError(f"no writer for {fmt}")
-    facts.rows, facts.columns, facts.written = counted.get["rows"], len(out.columns), True
+    facts.rows, facts.columns, facts.written = written_rows(out, path, fmt), len(out.columns), True
     facts.schema = [(f.name, f.dataType.simpleString()) for f in out.schema.fields]
     facts.size_mb = round(folder_size(spark, path) / 1024**2, 4)
     return facts
