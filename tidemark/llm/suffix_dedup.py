@@ -13,8 +13,10 @@ form one stretch of text (its context). The job runs in four steps.
 3. A bucket sorts its suffixes by multikey quicksort on eight bytes at a time, and the reversed text before the
    anchors likewise. Two suffixes share a window that begins o bytes before the anchor when they fall into the same class
    at depth ``length`` - o of one order and depth o of the other; common prefixes of neighbours give the classes.
-4. Across boundaries: windows of the first and the last leading key of a bucket may have their equal in another bucket; one hash per class
-   is compared with those of the other buckets.
+4. Across boundaries: a window can have its equal in another bucket only when its text from the anchor on is shared with the
+   bucket's first or last suffix. Suffixes with such windows are range-partitioned once more, by the text before the anchor read
+   backwards, and compared in these buckets. What shares its text with the ends of a bucket in both orders is left; one hash per
+   class of it is compared with those of the other buckets.
 
 Contexts and documents are found again by (row, place), where a row is known by id and text.
 
@@ -156,44 +158,112 @@ def padded(pieces: list[bytes], width: int) -> np.ndarray:
     return np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(len(pieces), width)
 
 
-def repeated_windows(
-    lead: np.ndarray, before: list[bytes], after: list[bytes], nearest: np.ndarray, farthest: np.ndarray, length: int,
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of suffixes with their text before and from the anchor on: (row, offset, repeated) and the class of every
-    window, a window being given by how far before the anchor it begins."""
-    reach = length - key_bytes(length)
-    right, left = padded(after, -(-length // 8) * 8), padded([b[::-1] for b in before], -(-reach // 8) * 8)
-    results = []
-    views = []
-    for texts in (right, left):
-        columns = np.ascontiguousarray(texts).view(">u8").astype(np.uint64)
-        order, shared = multikey_order(columns, lead)
-        rank = np.empty(len(order), dtype=np.int64)
-        rank[order] = np.arange(len(order))
-        views.append((rank, common_bytes(order, shared, texts)))
-    for offset in range(reach + 1):
-        rows = np.flatnonzero((nearest <= offset) & (offset <= farthest))
-        if len(rows):
-            here = classes(*views[0], length - offset)[rows] * len(lead) + classes(*views[1], offset)[rows]
-            _, number, count = np.unique(here, return_inverse=True, return_counts=True)
-            results.append((rows, np.full(len(rows), offset), count[number] > 1, here))
-    return tuple(np.concatenate(x) for x in zip(*results))
-
-
-def bucket_rows(length: int):
-    """Sorted suffixes to (row, low, high, hash): ranges of repeated windows, and with a hash single windows that are still
-    to be compared across boundaries."""
+class Windows:
+    """Windows of a bucket's suffixes, sorted both ways: (member, offset) of each, whether it is repeated in the bucket,
+    and its class. A window begins ``offset`` bytes before its suffix's anchor."""
+
+    def __init__(self, batch: pa.RecordBatch, length: int):
+        lead, anchor, low, high, limit = (batch.column(n).to_numpy() for n in ("lead", "anchor", "low", "high", "limit"))
+        self.back, self.after = batch.column("back").to_pylist(), batch.column("suffix").to_pylist()
+        reach = length - key_bytes(length)
+        nearest, farthest = np.maximum(anchor - high, length - limit), anchor - low
+        self.views = []
+        for texts in (padded([t[:length] for t in self.after], -(-length // 8) * 8), padded(self.back, -(-reach // 8) * 8)):
+            order, shared = multikey_order(np.ascontiguousarray(texts).view(">u8").astype(np.uint64), lead)
+            rank = np.empty(len(order), dtype=np.int64)
+            rank[order] = np.arange(len(order))
+            self.views.append((rank, common_bytes(order, shared, texts)))
+        found = [(np.zeros(0, np.int64),) * 4]
+        for offset in range(reach + 1):
+            rows = np.flatnonzero((nearest <= offset) & (offset <= farthest))
+            if len(rows):
+                here = classes(*self.views[0], length - offset)[rows] * len(lead) + classes(*self.views[1], offset)[rows]
+                _, number, count = np.unique(here, return_inverse=True, return_counts=True)
+                found.append((rows, np.full(len(rows), offset), count[number] > 1, here))
+        self.member, self.offset, self.repeated, self.kind = (np.concatenate(x) for x in zip(*found))
+        self.repeated = self.repeated.astype(bool)
+        self.start = anchor[self.member] - self.offset
+
+    def shared_with_ends(self, view: int, first: bool, last: bool) -> np.ndarray:
+        """Bytes that each suffix shares, in one of the orders, with the bucket's first or last one."""
+        rank, common = self.views[view]
+        most = np.full(len(rank), -1, dtype=np.int64)
+        for end in [0] * first + [len(rank) - 1] * last:
+            at, out = rank[end], np.full(len(rank), 1 << 30, dtype=np.int64)
+            out[at + 1 :] = np.minimum.accumulate(common[at + 1 :])
+            out[:at] = np.minimum.accumulate(common[at:0:-1])[::-1]
+            most = np.maximum(most, out[rank])
+        return most
+
+    def ranges(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(member, first start, last start) of runs of repeated windows."""
+        by = np.lexsort((self.start[self.repeated], self.member[self.repeated]))
+        own, begin = self.member[self.repeated][by], self.start[self.repeated][by]
+        heads = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (begin[1:] != begin[:-1] + 1))[: len(own)])
+        ends = np.append(heads[1:], len(own))[: len(heads)] - 1
+        return own[heads], begin[heads], begin[ends]
+
+    def one_of_each(self, wanted: np.ndarray) -> np.ndarray:
+        """One of the wanted windows of each class; those repeated in the bucket too, so that others find them."""
+        which = np.flatnonzero(wanted)
+        _, one = np.unique(np.stack([self.offset[which], self.kind[which]]), axis=1, return_index=True)
+        return which[one]
+
+    def text(self, window: int, length: int) -> bytes:
+        member, offset = self.member[window], self.offset[window]
+        return self.back[member][:offset][::-1] + self.after[member][: length - offset]
+
+
+SUFFIX_FIELDS = [("lead", pa.int64()), ("row", pa.int64()), ("anchor", pa.int64()), ("low", pa.int64()), ("high", pa.int64()),
+                 ("limit", pa.int64()), ("back", pa.binary()), ("suffix", pa.binary())]
+SUFFIX_SCHEMA = "lead bigint, row bigint, anchor bigint, low bigint, high bigint, limit bigint, back binary, suffix binary"
+
+
+def bucket_rows(length: int, second: bool):
+    """Sorted suffixes to rows of the same form and a hash. Without suffix: a range (low, high) of repeated windows.
+
+    The first time, suffixes come back that share text with other buckets, with the number of bytes as ``limit``; the
+    second time, windows (low) to be compared with those of other buckets by their hash.
+    """
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         previous, open_before = None, True
         for batch in gathered(key_runs(batches, 1, BUCKET_ROWS)):
             if previous is not None:
                 cut = previous.column(0)[-1].as_py() == batch.column(0)[0].as_py()
-                yield decided(previous, open_before, cut, length)
+                yield settled(previous, open_before, cut)
                 open_before = cut
             previous = batch
         if previous is not None:
-            yield decided(previous, open_before, True, length)
+            yield settled(previous, open_before, True)
+
+    def settled(batch: pa.RecordBatch, first: bool, last: bool) -> pa.RecordBatch:
+        windows = Windows(batch, length)
+        member, low, high = windows.ranges()
+        row = batch.column("row").to_numpy()
+        parts = [result({"row": row[member], "low": low, "high": high})]
+        ends = windows.shared_with_ends(1 if second else 0, first, last)
+        if second:
+            ask = windows.one_of_each(windows.offset <= ends[windows.member])
+            parts.append(result({
+                "row": row[windows.member[ask]], "low": windows.start[ask], "high": windows.start[ask],
+                "hash": [xxhash.xxh3_128_digest(windows.text(w, length)) for w in ask],
+            }))
+        else:
+            anchor, start = batch.column("anchor").to_numpy(), batch.column("low").to_numpy()
+            again = np.flatnonzero(ends >= length - (anchor - start))
+            taken = batch.take(pa.array(again))
+            parts.append(result({n: taken.column(n) for n in batch.schema.names if n != "limit"} | {"limit": np.minimum(ends, length)[again]}))
+        return pa.Table.from_batches(parts).combine_chunks().to_batches()[0] if any(p.num_rows for p in parts) else parts[0]
+
+    def result(columns: dict) -> pa.RecordBatch:
+        fields = [*SUFFIX_FIELDS, ("hash", pa.binary())]
+        size = len(columns["row"])
+        arrays = [
+            columns[n] if isinstance(columns.get(n), pa.Array) else pa.array(columns.get(n, [None] * size), kind)
+            for n, kind in fields
+        ]
+        return pa.RecordBatch.from_arrays(arrays, names=[n for n, _ in fields])
 
     return sort
 
@@ -211,42 +281,8 @@ def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield joined(parts)
 
 
-def decided(batch: pa.RecordBatch, open_first: bool, open_last: bool, length: int) -> pa.RecordBatch:
-    lead, row, anchor, low, high = (batch.column(n).to_numpy() for n in ("lead", "row", "anchor", "low", "high"))
-    before, after = batch.column("before").to_pylist(), batch.column("suffix").to_pylist()
-    member, offset, repeated, kind = repeated_windows(
-        lead, before, [a[:length] for a in after], anchor - high, anchor - low, length
-    )
-    unsettled = np.zeros(len(lead), dtype=bool)
-    if open_first:
-        unsettled |= lead == lead[0]
-    if open_last:
-        unsettled |= lead == lead[-1]
-    start = anchor[member] - offset
-    by = np.lexsort((start[repeated], member[repeated]))
-    own, begin = member[repeated][by], start[repeated][by]
-    heads = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (begin[1:] != begin[:-1] + 1))[: len(own)])
-    ends = np.append(heads[1:], len(own))[: len(heads)] - 1
-    rows, lows, highs, hashes = [row[own[heads]]], [begin[heads]], [begin[ends]], [None] * len(heads)
-    ask = unsettled[member]
-    if ask.any():
-        # one window of each class asks for all, for those already repeated only so that others find it
-        _, one = np.unique(np.stack([offset[ask], kind[ask]]), axis=1, return_index=True)
-        asking = np.flatnonzero(ask)[one]
-        rows.append(row[member[asking]])
-        lows.append(start[asking])
-        highs.append(start[asking])
-        for m, o in zip(member[asking].tolist(), offset[asking].tolist()):
-            window = before[m][len(before[m]) - o :] + after[m][: length - o]
-            hashes.append(xxhash.xxh3_128_digest(window))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate(x)) for x in (rows, lows, highs)] + [pa.array(hashes, pa.binary())],
-        names=["row", "low", "high", "hash"],
-    )
-
-
 def cut_suffixes(length: int):
-    """(row, text, cuts) to suffixes: what stands before the anchor in its context, and from it on."""
+    """(row, text, cuts) to suffixes: what stands before the anchor in its context, backwards, and from it on."""
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
@@ -254,11 +290,10 @@ def cut_suffixes(length: int):
             data = text.encode()
             for c in cuts:
                 anchor, low, high = c["anchor"], c["low"], c["high"]
-                out.append((c["lead"], row, anchor, low, high, data[low:anchor], data[anchor : high + length]))
-        columns = list(zip(*out)) if out else [()] * 7
-        types = [pa.int64()] * 5 + [pa.binary()] * 2
-        names = ["lead", "row", "anchor", "low", "high", "before", "suffix"]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+                out.append((c["lead"], row, anchor, low, high, length, data[low:anchor][::-1], data[anchor : high + length]))
+        columns = list(zip(*out)) if out else [()] * 8
+        arrays = [pa.array(c, t) for c, (_, t) in zip(columns, SUFFIX_FIELDS)]
+        return pa.RecordBatch.from_arrays(arrays, names=[n for n, _ in SUFFIX_FIELDS])
 
     return cut
 
@@ -286,13 +321,15 @@ def repeated_ranges(docs: DataFrame, length: int) -> DataFrame:
         .agg(F.collect_list(F.struct("lead", "anchor", "low", "high")).alias("cuts"))
     )
     suffixes = (
-        docs.join(wanted, F.col("row") == F.col("own_row")).select("row", "text", "cuts").mapInArrow(
-            by_batch(cut_suffixes(length)),
-            "lead bigint, row bigint, anchor bigint, low bigint, high bigint, before binary, suffix binary",
-        )
+        docs.join(wanted, F.col("row") == F.col("own_row")).select("row", "text", "cuts")
+        .mapInArrow(by_batch(cut_suffixes(length)), SUFFIX_SCHEMA)
     )
-    sorted_rows = suffixes.repartitionByRange(width, "suffix", "row", "anchor").sortWithinPartitions("suffix")
-    ranges = pin(sorted_rows.mapInArrow(bucket_rows(length), "row bigint, low bigint, high bigint, hash binary"))
+    forward = suffixes.repartitionByRange(width, "suffix", "row", "anchor").sortWithinPartitions("suffix")
+    once = pin(forward.mapInArrow(bucket_rows(length, second=False), f"{SUFFIX_SCHEMA}, hash binary"))
+    again = once.where("suffix is not null").drop("hash")
+    backward = again.repartitionByRange(width, "lead", "back", "row", "anchor").sortWithinPartitions("lead", "back")
+    twofold = pin(backward.mapInArrow(bucket_rows(length, second=True), f"{SUFFIX_SCHEMA}, hash binary"))
+    ranges = once.where("suffix is null").unionByName(twofold).select("row", "low", "high", "hash")
     asked = ranges.where("hash is not null")
     twice = pin(asked.groupBy(F.col("hash").alias("own_hash")).count().where("count > 1").select("own_hash"))
     crossing = asked.join(twice, F.col("hash") == F.col("own_hash")).select("row", "low", "high")
