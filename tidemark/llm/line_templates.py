@@ -34,23 +34,23 @@ def exploded(docs: DataFrame, id_col: str, text_col: str, min_tokens: int) -> Da
     """(doc, row, pos, masked, leaf, line): lines of all documents with their path in the tree."""
     lines = docs.select(
         quoted(id_col).alias("doc"), row_key(id_col, text_col).alias("row"),
-        F.posexplode(F.split(text_of(text_col), "\n")).alias("pos", "raw"),
+        F.posexplode(F.transform(F.split(text_of(text_col), "\n"), masked_line)).alias("pos", "masked"),
     )
-    plain = F.trim(F.regexp_replace("raw", r"[\t\r\f ]+", " "))
-    masked = F.regexp_replace(plain, r"[^ \d]*\d[^ ]*", FIELD)
     spaces = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit("")))
-    return (
-        lines.select("doc", "row", "pos", masked.alias("masked"))
-        .withColumn("tokens", spaces + 1)
-        .where(F.col("tokens") >= min_tokens)
-        .select(
-            "doc", "row", "pos", "masked",
-            F.xxhash64("tokens", F.substring_index("masked", " ", LEADING)).alias("leaf"),
-            F.xxhash64("masked").alias("line"),
-        )
+    return lines.where(spaces + 1 >= min_tokens).select(
+        "doc", "row", "pos", "masked",
+        F.xxhash64(spaces, F.substring_index("masked", " ", LEADING)).alias("leaf"), F.xxhash64("masked").alias("line"),
     )
 
 
+def masked_line(raw: Column) -> Column:
+    """Tokens with single spaces between, those with digits as ``<*>``; the replacements are costly and rarely needed."""
+    odd = F.contains(raw, F.lit("  ")) | F.contains(raw, F.lit("\t")) | F.contains(raw, F.lit("\r")) | F.contains(raw, F.lit("\f"))
+    digit = raw.rlike("[0-9]")
+    plain = F.trim(F.when(odd, F.regexp_replace(raw, "[\\t\\r\\f ]+", " ")).otherwise(raw))
+    return F.when(digit, F.regexp_replace(plain, "[^ 0-9]*[0-9][^ ]*", FIELD)).otherwise(plain)
+
+
 def spread(doc: Column) -> list[Column]:
     """First document, and whether there is more than one; a missing id counts as the last document."""
     return [

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tidemark.llm.common import by_batch, quoted, text_of
+from tidemark.llm.common import quoted, text_of
 from tidemark.session import pin
 
 SIZES = (4, 6)
@@ -65,7 +65,7 @@ def buckets(text: str) -> np.ndarray:
 def training_rows(
     docs: DataFrame, labels: DataFrame, usable: Column, id_col: str, text_col: str, label_col: str, max_rows: int
 ) -> tuple[DataFrame, int]:
-    """(toxic, features) of about ``max_rows`` labelled documents chosen by hash of the id, and how many have labels."""
+    """(toxic, text) of about ``max_rows`` labelled documents chosen by hash of the id, and how many have labels."""
     known = (
         labels.select(quoted(id_col).alias("id"), quoted(label_col).cast("int").alias("toxic"))
         .where(F.col("id").isNotNull() & F.col("toxic").isNotNull())
@@ -77,16 +77,9 @@ def training_rows(
         share = int(max_rows / total * (1 << 30))
         known = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share)
 
-    def featured(batch: pa.RecordBatch) -> pa.RecordBatch:
-        lists = [buckets(t).astype(np.int32) for t in batch.column(1).to_pylist()]
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(lists, pa.list_(pa.int32()))], names=["toxic", "features"]
-        )
-
     texts = docs.select(quoted(id_col).alias("doc"), text_of(text_col).alias("text"))
     # the sampled labels have a fixed bound, so they may be sent to every task
-    chosen = texts.join(F.broadcast(known), F.col("doc") == F.col("id")).select("toxic", "text")
-    return chosen.mapInArrow(by_batch(featured), "toxic int, features array<int>"), total
+    return texts.join(F.broadcast(known), F.col("doc") == F.col("id")).select("toxic", "text"), total
 
 
 def log_count_ratios(rows: DataFrame) -> tuple[np.ndarray, int, int]:
@@ -121,8 +114,9 @@ def log_count_ratios(rows: DataFrame) -> tuple[np.ndarray, int, int]:
 
 
 def unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    lists = batch.column(1)
-    return batch.column(0).to_numpy(), lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+    """Labels, the buckets of all texts one after the other, and how many each text has."""
+    lists = [buckets(t).astype(np.int32) for t in batch.column(1).to_pylist()]
+    return batch.column(0).to_numpy(), np.concatenate(lists), np.array([len(x) for x in lists])
 
 
 def improve(
@@ -182,7 +176,7 @@ def quasi_newton(loss, x: np.ndarray, steps: int, memory: int = 8) -> np.ndarray
 
 def train(
     docs: DataFrame, labels: DataFrame, usable: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
-    label_col: str = "toxic", max_rows: int = 20_000, part_rows: int = 5_000, rounds: int = 2, steps: int = 30,
+    label_col: str = "toxic", max_rows: int = 20_000, part_rows: int = 2_500, rounds: int = 2, steps: int = 30,
     penalty: float = 1e-3,
 ) -> Model:
     """Fit on the labelled documents for which ``usable`` (a condition on ``id``) holds."""
