@@ -119,13 +119,13 @@ def test_recurring_templates_are_dropped_and_first_ones_stay(spark):
         "Posted on 2020-01-02 by admin at noon\nonly here is this line\nshort one",
         "Posted on 2021-11-12 by admin at noon\nshort one\nshare this page with all of your friends today",
         "Posted on 1999-01-01 by guest at noon\nshare this page with all of your family today",
-        "only here is another line", None, "", "Posted on 2020-01-02 by admin at noon",
+        "only here is another thing", None, "", "Posted on 2020-01-02 by admin at noon",
     ]
     docs = documents(spark, texts).withColumn("row", F.lit("kept")).withColumn("n_dropped", F.lit(-1))
     got = collected(line_templates.drop_recurring_lines(docs.drop("n_dropped"), dropped_col="n_dropped"))
     assert got[0]["text"] == texts[0] and got[0]["n_dropped"] == 0
     assert got[1]["text"] == "short one\nshare this page with all of your friends today"
-    assert got[2]["text"] == "Posted on 1999-01-01 by guest at noon"  # six of eight tokens are not enough
+    assert got[2]["text"] == "" and got[2]["n_dropped"] == 2  # six of seven tokens in place are enough
     assert got[3]["text"] == texts[3] and got[4]["text"] is None and got[5]["text"] == ""
     assert got[6]["text"] == "" and got[6]["row"] == "kept"
     assert line_templates.drop_recurring_lines(docs.where("false")).count() == 0

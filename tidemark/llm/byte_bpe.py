@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding with the tokenizers library over Arrow batches.
 
 Text is cut into pieces by the splitting pattern of the vocabulary, every piece is written with one character per
-byte (the byte table of byte-level vocabularies) and handed to the library's BPE model; its ids and offsets come back
-in bytes of the piece. Pieces recur a lot, so each task keeps the ids of pieces it has seen, up to a fixed number.
+byte (the byte table of byte-level vocabularies) and handed to the library's BPE model; the bytes of its tokens give their
+offsets in the text. Pieces recur a lot, so each task keeps the ids of pieces it has seen, up to a fixed number.
 
 Defined results: a null or empty text has no tokens and decodes to the empty text; rows that repeat are encoded each
 for itself; special-token strings inside a text are ordinary text; any length is encoded whole. Decoding a list of
@@ -62,7 +62,7 @@ class ByteBpe:
         self.unusual = re.compile(r"\s\s|[^\S \n]|\A\s|\s\Z").search
 
     def tokens_of(self, piece: str) -> list:
-        """The library's tokens of one piece; their offsets count bytes of the piece."""
+        """The library's tokens of one piece; one character of theirs is one byte of the piece."""
         return self.model.tokenize("".join(map(self.chars.__getitem__, piece.encode())))
 
     def piece_ids(self, piece: str) -> bytes:
@@ -104,9 +104,11 @@ class ByteBpe:
         out, at = [], 0
         for piece in self.split(text):
             owner = [i for i, c in enumerate(piece) for _ in c.encode()]
+            begin = 0
             for token in self.tokens_of(piece):
-                a, b = token.offsets
-                out.append((token.id, at + owner[a], at + owner[b - 1] + 1))
+                end = begin + len(self.bytes_by_id[token.id])
+                out.append((token.id, at + owner[begin], at + owner[end - 1] + 1))
+                begin = end
             at += len(piece)
         return out
 
