@@ -23,6 +23,12 @@ def null_if_nan(df: DataFrame, name: str) -> Column:
     return column
 
 
+def nan_to_null(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` with NaN turned into null in the named float columns; other columns are left alone."""
+    floats = [n for n in dict.fromkeys(names) if isinstance(df.schema[n].dataType, FRACTIONAL)]
+    return df.withColumns({n: null_if_nan(df, n) for n in floats}) if floats else df
+
+
 def columns_of(df: DataFrame, *kinds: type) -> list[str]:
     """Names of the columns whose type is one of ``kinds``."""
     return [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]

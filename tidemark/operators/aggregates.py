@@ -9,6 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.joins import null_safe_join
+from tidemark.functions.missing import nan_to_null
 from tidemark.functions.ordering import row_position
 
 
@@ -120,7 +121,7 @@ def flag_rates(df: DataFrame, keys: Sequence[str], flags: Mapping[str, Column],
 def missing_by_group(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     """Rows, missing rows and missing share per group; null keys are left out."""
     return (
-        df.na.drop(subset=list(keys))
+        nan_to_null(df, column).na.drop(subset=list(keys))
         .groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("total_rows"),

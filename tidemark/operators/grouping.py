@@ -78,10 +78,16 @@ def group_sizes(grouped: DataFrame) -> DataFrame:
     )
 
 
+def number_key(digits: Column) -> Column:
+    """Digits of any length so that they sort by value: their number without leading zeros, then themselves."""
+    bare = F.regexp_replace(digits, "^0+(?=.)", "")
+    return F.concat(F.lpad(F.length(bare).cast("string"), 10, "0"), bare)
+
+
 def natural_key(name: Column) -> Column:
     """Sort key under which ``Sheet2`` comes before ``Sheet10``."""
     pieces = F.regexp_extract_all(name, F.lit(r"(\d+|\D+)"), F.lit(1))
-    padded = F.transform(pieces, lambda p: F.when(p.rlike(r"^\d+$"), F.lpad(p, 20, "0")).otherwise(p))
+    padded = F.transform(pieces, lambda p: F.when(p.rlike(r"^\d+$"), number_key(p)).otherwise(p))
     return F.array_join(padded, "")
 
 

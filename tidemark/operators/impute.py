@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.joins import null_safe_join
+from tidemark.functions.missing import nan_to_null
 from tidemark.functions.quantiles import quantiles
 from tidemark.functions.scalars import relative_change_percent
 from tidemark.operators.profile import stat_block
@@ -36,6 +37,7 @@ def grouping_medians(df: DataFrame, value: str, groupings: Sequence[Sequence[str
 
 def impute_group_median(df: DataFrame, value: str, by: Sequence[str], into: str | None = None) -> DataFrame:
     """Gaps become the group's median, or the overall median where the group has no value at all."""
+    df = nan_to_null(df, value)
     medians, size = grouping_medians(df, value, [list(by), []])
     overall = medians.where("__set = 1").agg(F.max("__median")).scalar()
     filled = null_safe_join(df, medians.where("__set = 0").drop("__set"), list(by), size=size)
@@ -43,12 +45,12 @@ def impute_group_median(df: DataFrame, value: str, by: Sequence[str], into: str
 
 
 def drop_missing(df: DataFrame, value: str) -> DataFrame:
-    return df.where(F.col(value).isNotNull())
+    return nan_to_null(df, value).where(F.col(value).isNotNull())
 
 
 def both_variants(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     """``(variant, value)``: the column after dropping gaps and after imputing them."""
-    filled = impute_group_median(df, value, by, "__filled")
+    filled = impute_group_median(nan_to_null(df, value), value, by, "__filled")
     tall = filled.select(
         F.inline(
             F.array(
@@ -111,6 +113,7 @@ def mask_and_score(df: DataFrame, value: str, by: Sequence[str], masked: Column)
 
 def simple_imputations(df: DataFrame, value: str) -> DataFrame:
     """``(variant, value)``: observed values only, and gaps filled by the mean and by the median."""
+    df = nan_to_null(df, value)
     mean = df.agg(F.avg(value).alias("m")).scalar()
     median = quantiles(df, value, [0.5], names=["m"]).scalar()
     variants = df.select(
@@ -123,7 +126,7 @@ def simple_imputations(df: DataFrame, value: str) -> DataFrame:
 
 def sensitivity(df: DataFrame, value: str, by: Sequence[str], factors: Mapping[str, float]) -> DataFrame:
     """Statistics of the column when imputed values are scaled, or replaced by the worst or best known value."""
-    known = F.col(value)
+    df, known = nan_to_null(df, value), F.col(value)
     ends = df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
     imputed = impute_group_median(df, value, by, "__filled").withColumn("__ends", ends)
     scenarios = [

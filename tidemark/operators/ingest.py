@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators import manifest as mf
 from tidemark.operators.grouping import GroupConfig, common_sheets, group_by_config
-from tidemark.operators.unions import column_types, diagonal_union, relaxed_union
+from tidemark.operators.unions import column_types, relaxed_union
 from tidemark.sinks.writers import SUFFIX, OutputFacts, WriteOptions, safe_name, write
 from tidemark.sources import excel, readers
 from tidemark.sources.listing import list_files
@@ -48,19 +48,31 @@ def convert_group(
     """Write one group: one table, or one per common sheet. Returns (inputs, sheet, facts)."""
     inputs = ", ".join(path for path, _ in files)
     done = []
-    workbooks = [p for p, kind in files if kind == "excel"]
+    workbooks = [p for p, kind in files if kind == "excel" and p.lower().endswith(".xlsx")]
     for sheet in sheets:
         frame = excel.sheet_table(excel.workbooks(spark, workbooks), sheet)
         path = f"{output}/{safe_name(f'{group}.{sheet}.{SUFFIX[fmt]}')}"
         done.append((inputs, sheet, write(frame, path, fmt, options)))
     kinds = sorted({kind for _, kind in files if kind != "excel"})
-    frames = [read_files(spark, [p for p, k in files if k == kind], kind) for kind in kinds]
-    if frames:
-        path = f"{output}/{safe_name(f'{group}.{SUFFIX[fmt]}')}"
-        done.append((inputs, None, write(diagonal_union(frames), path, fmt, options)))
+    frames = {kind: read_files(spark, [p for p, k in files if k == kind], kind) for kind in kinds}
+    tables = merge_or_split(frames)
+    for kind, frame in tables.items():
+        name = group if len(tables) == 1 else f"{group}.{kind}"
+        path = f"{output}/{safe_name(f'{name}.{SUFFIX[fmt]}')}"
+        own = inputs if len(tables) == 1 else ", ".join(p for p, k in files if k == kind)
+        done.append((own, None, write(frame, path, fmt, options)))
     return done
 
 
+def not_read(spark: SparkSession, files: Sequence[tuple[str, str]]) -> list[str]:
+    """Workbooks without a reader (the old binary format) and those that cannot be opened."""
+    books = [p for p, kind in files if kind == "excel"]
+    old = [p for p in books if not p.lower().endswith(".xlsx")]
+    new = [p for p in books if p not in old]
+    broken = [r["path"] for r in excel.unreadable(excel.workbooks(spark, new)).collect()] if new else []
+    return sorted([f"{p} (no reader)" for p in old] + [f"{p} (cannot be opened)" for p in broken])
+
+
 def _convert_task(
     spark: SparkSession, config: GroupConfig, group: list[tuple[str, str]], output: str, run_id: str, fmt: str, options: WriteOptions
 ) -> tuple:
@@ -68,15 +80,18 @@ def _convert_task(
     started, clock = dt.datetime.now(dt.timezone.utc), time.perf_counter()
     status, error, done = mf.SUCCESS, None, []
     try:
-        books = [p for p, kind in group if kind == "excel"]
+        unread = not_read(spark, group)
+        books = [p for p, kind in group if kind == "excel" and p.lower().endswith(".xlsx")]
         sheets = []
         if books:
             named = excel.sheet_names(excel.workbooks(spark, books), config.ignore_sheets)
             shared = common_sheets(named.select(F.lit(config.name).alias("group"), "path", "sheet"))
             sheets = [r["sheet"] for r in shared.orderBy("ord").collect()]
         done = convert_group(spark, config.name, group, sheets, output, fmt, options)
+        if unread:  # what could be read is written, but the group is not finished
+            status, error = mf.FAILED, f"not read: {', '.join(unread)}"
     except Exception as failure:  # the other groups go on
-        status, error = mf.FAILED, str(failure)[:2000]
+        status, error = mf.FAILED, str(failure)
     results = [
         (inputs, facts.output, sheet, facts.schema, facts.rows, facts.columns, facts.size_mb) for inputs, sheet, facts in done
     ]

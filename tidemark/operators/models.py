@@ -11,7 +11,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.joins import null_safe_join
-from tidemark.functions.missing import null_if_nan
+from tidemark.functions.missing import nan_to_null, null_if_nan
 from tidemark.functions.quantiles import column_quantiles
 from tidemark.operators.outliers import histogram
 from tidemark.operators.profile import constant_columns, per_column
@@ -67,6 +67,7 @@ def mice_impute(
     falls below ``tolerance`` standard deviations in every column. ``fit_on`` limits the rows models are fitted on.
     """
     columns = list(columns)
+    df = nan_to_null(df, *columns)
     known = df if fit_on is None else df.where(fit_on)
     facts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
     spread = known.agg(*[F.stddev_samp(c).alias(c) for c in columns]).first()
@@ -121,6 +122,7 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     error = F.col(actual) - F.col(predicted)
     squares = F.sum(error * error)
     spread = F.var_pop(actual) * F.count(actual)
+    df = nan_to_null(df, actual, predicted)
     return df.where(F.col(actual).isNotNull() & F.col(predicted).isNotNull()).agg(
         F.avg(F.abs(error)).alias("mae"),
         F.sqrt(F.avg(error * error)).alias("rmse"),

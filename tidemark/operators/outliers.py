@@ -8,6 +8,7 @@ from statistics import NormalDist
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.joins import null_safe_join
+from tidemark.functions.missing import nan_to_null
 from tidemark.functions.quantiles import quantile_rows, quantiles
 from tidemark.operators.aggregates import percent_by_group
 from tidemark.operators.profile import describe
@@ -41,7 +42,7 @@ def out_of_range_counts(df: DataFrame, value: Column, low: float, high: float) -
 
 def threshold_sweep(df: DataFrame, column: str, thresholds: Sequence[float]) -> DataFrame:
     """Describe the column with values above each threshold nulled (and without threshold), in one pass."""
-    value = F.col(column).cast("double")
+    df, value = nan_to_null(df, column), F.col(column).cast("double")
     variants = [F.struct(F.lit("none").alias("threshold"), value.alias("value"), F.lit(False).alias("above"))]
     variants += [
         F.struct(F.lit(str(t)).alias("threshold"), F.when(value <= t, value).alias("value"), (value > t).alias("above"))
@@ -62,11 +63,12 @@ def value_frequency(df: DataFrame, column: str, low: float, high: float) -> Data
 def validity_split(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
     """Row counts for valid, invalid and unknown (null) values of ``(low, high]``."""
     valid = (F.col(column) > low) & (F.col(column) <= high)
-    return df.select(valid.alias("is_valid")).groupBy("is_valid").agg(F.count(F.lit(1)).alias("len"))
+    return nan_to_null(df, column).select(valid.alias("is_valid")).groupBy("is_valid").agg(F.count(F.lit(1)).alias("len"))
 
 
 def outlier_flags(df: DataFrame, column: str, iqr_factor: float = 1.5, z_limit: float = 3.0) -> DataFrame:
     """Add flags by the quartile fences and by the z-score; nulls are never outliers."""
+    df = nan_to_null(df, column)
     marks = quantiles(df, column, [0.25, 0.75], names=["q1", "q3"])
     basic = df.agg(F.struct(F.avg(column).alias("mean"), F.stddev_samp(column).alias("std")).alias("b"))
     value, spread = F.col(column), F.col("__q.q3") - F.col("__q.q1")
@@ -94,6 +96,7 @@ def _span(df: DataFrame, column: str) -> Column:
 
 def histogram(df: DataFrame, column: str, bins: int = 50, by: Sequence[str] = ()) -> DataFrame:
     """Equal-width counts over the column's range, last bin closed; ``by`` shares one set of bins."""
+    df = nan_to_null(df, column)
     spanned = df.where(F.col(column).isNotNull()).withColumn("__s", _span(df, column))
     width = (F.col("__s.hi") - F.col("__s.lo")) / F.lit(bins)
     index = F.least(F.coalesce(F.floor(F.try_divide(F.col(column) - F.col("__s.lo"), width)), F.lit(0)), F.lit(bins - 1))
@@ -107,6 +110,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50, by: Sequence[str] = ()
 
 def binned_counts(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     """Equal-width counts with bins closed on the right; the smallest value belongs to the first bin."""
+    df = nan_to_null(df, column)
     spanned = df.where(F.col(column).isNotNull()).withColumn("__s", _span(df, column))
     width = (F.col("__s.hi") - F.col("__s.lo")) / F.lit(bins)
     index = F.least(
@@ -132,7 +136,7 @@ def ks_test(df: DataFrame, column: str) -> DataFrame:
     """Kolmogorov-Smirnov test against the normal distribution with the sample's mean and population std."""
     from pyspark.ml.stat import KolmogorovSmirnovTest
 
-    present = df.select(F.col(column).cast("double").alias(column)).where(F.col(column).isNotNull())
+    present = nan_to_null(df, column).select(F.col(column).cast("double").alias(column)).where(F.col(column).isNotNull())
     fit = present.agg(F.avg(column).alias("mean"), F.stddev_pop(column).alias("std")).first()
     return KolmogorovSmirnovTest.test(present, column, "norm", fit["mean"], fit["std"]).select(
         F.col("pValue").alias("p_value"), "statistic"
@@ -142,7 +146,7 @@ def ks_test(df: DataFrame, column: str) -> DataFrame:
 def dagostino_k2(df: DataFrame, column: str) -> DataFrame:
     """D'Agostino-Pearson omnibus test: z-scores of skewness and kurtosis, their sum of squares and p-value."""
     n, g1 = F.col("n"), F.col("g1")
-    moments = df.agg(
+    moments = nan_to_null(df, column).agg(
         F.count(column).cast("double").alias("n"), F.skewness(column).alias("g1"), (F.kurtosis(column) + 3).alias("b2")
     )
     steps: list[Mapping[str, Column]] = [

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.joins import null_safe_join
-from tidemark.functions.missing import is_missing, null_if_nan, numeric_columns
+from tidemark.functions.missing import is_missing, nan_to_null, null_if_nan, numeric_columns
 from tidemark.functions.quantiles import column_quantiles, quantile_rows, quantiles
 
 
@@ -132,6 +132,7 @@ def constant_columns(df: DataFrame, max_missing: float = 0.7) -> DataFrame:
 
 def stat_block(df: DataFrame, value: str, by: Sequence[str] = (), method: str = "linear") -> DataFrame:
     """mean, median, std and 95th percentile."""
+    df = nan_to_null(df, value)
     basic = df.groupBy(*by).agg(F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"))
     marks = quantiles(df, value, [0.5, 0.95], by, ["median", "p95"], method)
     if by:
@@ -156,11 +157,12 @@ def correlation(a: Column, b: Column) -> Column:
 
 
 def pair_corr(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    df = nan_to_null(df, *[c for pair in pairs for c in pair])
     return df.agg(*[correlation(F.col(a), F.col(b)).alias(f"{a}__{b}") for a, b in pairs])
 
 
 def shape_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Population skewness and excess kurtosis per column."""
     return per_column(
-        df, {c: [("skewness", F.skewness(c)), ("kurtosis", F.kurtosis(c))] for c in columns}
+        nan_to_null(df, *columns), {c: [("skewness", F.skewness(c)), ("kurtosis", F.kurtosis(c))] for c in columns}
     )

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.ordering import expand_counts, spread_running_total, spread_sort
 
@@ -52,10 +52,20 @@ def split_sections(wide: DataFrame, sections: Sequence[str], row_idx: str = "row
 
 
 def paired(source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Full outer join on the keys with both rows as structs ``s`` and ``t`` (null on a missing side)."""
-    left = source.select(*keys, F.struct(*columns).alias("s"))
-    right = target.select(*keys, F.struct(*columns).alias("t"))
-    return left.join(right, on=list(keys), how="full_outer")
+    """Full outer join on the keys with both rows as structs ``s`` and ``t`` (null on a missing side).
+
+    Null keys match each other. Rows that repeat a key pair up one to one, in the order of their columns.
+    """
+    place = Window.partitionBy(*keys).orderBy(*columns)
+
+    def numbered(df: DataFrame, side: str) -> DataFrame:
+        rows = df.select(*keys, *[c for c in columns if c not in keys]).withColumn("__place", F.row_number().over(place))
+        return rows.select(*[F.col(k).alias(f"__{side}_{k}") for k in keys], F.col("__place").alias(f"__{side}"), F.struct(*columns).alias(side))
+
+    same = reduce(and_, [F.col(f"__s_{k}").eqNullSafe(F.col(f"__t_{k}")) for k in keys], F.col("__s") == F.col("__t"))
+    pairs = numbered(source, "s").join(numbered(target, "t"), same, "full_outer")
+    own = [F.when(F.col("s").isNotNull(), F.col(f"__s_{k}")).otherwise(F.col(f"__t_{k}")).alias(k) for k in keys]
+    return pairs.select(*own, "s", "t")
 
 
 def changed(column: str) -> Column:

@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+# Quotes are doubled and blanks at the ends of a cell kept, so that every text survives
+CSV_TEXT = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 SUFFIX = {"parquet": "parquet", "csv": "csv", "json": "json"}
 
 
@@ -50,10 +52,14 @@ def folder_size(spark: SparkSession, path: str) -> int:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds data, so that a finished output is not written again."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    """True when ``path`` holds a finished output, so that it is not written again. A folder is finished once its
+    writer has left the success marker; what an aborted write left behind does not count."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(path)
     files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files.exists(target) and files.getContentSummary(target).getLength() > 0
+    if not files.exists(target) or files.getContentSummary(target).getLength() == 0:
+        return False
+    return not files.getFileStatus(target).isDirectory() or files.exists(hadoop.Path(target, "_SUCCESS"))
 
 
 def written_rows(out: DataFrame, path: str, fmt: str) -> int:
@@ -92,7 +98,7 @@ def write(
     if fmt == "parquet":
         writer.option("compression", options.compression or "snappy").parquet(path)
     elif fmt == "csv":
-        writer.option("header", str(options.header).lower()).csv(path)
+        writer.options(**CSV_TEXT, header=str(options.header).lower()).csv(path)
     elif fmt == "json":
         writer.option("ignoreNullFields", "false").json(path)
     else:

@@ -163,8 +163,8 @@ def unreadable(books: DataFrame) -> DataFrame:
 
 
 def workbooks(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """``(path, content)`` of the .xlsx files below a folder or in a list."""
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx")
+    """``(path, content)`` of the .xlsx files (any case) below a folder or in a list."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.[xX][lL][sS][xX]")
     return reader.load(path if isinstance(path, str) else list(path)).select("path", "content")
 
 

@@ -4,15 +4,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.missing import string_columns
 from tidemark.operators.unions import diagonal_union
-from tidemark.sources.listing import chunks
 
 SOURCE_COLUMN = "_source_file"
+EMPTY = "\x01"  # stands for a quoted empty cell while reading, as an unquoted one is null
 BOM = "﻿"
 
 
@@ -27,28 +26,42 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: str | None
 
 
 def first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
-    """The first non-blank line of each file, without its byte-order mark. Reads no further than that line."""
-    found: dict[str, str] = {}
-    for group in chunks(list(paths)):
-        parts = [
-            spark.read.text(p).where(F.trim(F.regexp_replace("value", BOM, "")) != "").limit(1).select(F.lit(p).alias("path"), "value")
-            for p in group
-        ]
-        for row in reduce(lambda a, b: a.unionByName(b), parts).collect():
-            found[row["path"]] = row["value"].replace(BOM, "").strip()
-    return found
+    """The first non-blank line of each file, without its byte-order mark."""
+    return {path: line for path, (line, _) in file_heads(spark, paths).items()}
+
+
+def file_heads(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, bool]]:
+    """First non-blank line of each file without its byte-order mark, and whether a quoted cell runs over a line
+    break (some line holds an odd number of quotes). One scan over all files, one row per file to the driver."""
+    def plain(uri: str) -> str:  # local files come with one slash or three
+        return re.sub("^file:/+", "/", uri)
+
+    given = {plain(_as_uri(spark, p)): p for p in paths}
+    if not given:
+        return {}
+    lines = spark.read.text(list(given.values())).select(
+        F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", BOM, "").alias("line"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
+    )
+    quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
+    heads = lines.where(F.trim("line") != "").groupBy("path").agg(
+        F.min_by("line", "place").alias("line"), F.bool_or(quotes % 2 == 1).alias("open")
+    )
+    return {given[plain(r["path"])]: (r["line"].strip(), r["open"]) for r in heads.collect()}
 
 
 def read_csv_text(spark: SparkSession, paths: Sequence[str], lineage: bool = False) -> DataFrame:
     """Every column as text. Files are read together per header line and stacked by column name, because one
-    read over different headers would match columns by position."""
-    by_header: dict[str, list[str]] = {}
-    for path, line in sorted(first_lines(spark, as_list(paths)).items()):
-        by_header.setdefault(line, []).append(path)
+    read over different headers would match columns by position. Only files with line breaks inside quotes
+    are read whole, one task each; the others stay split."""
+    by_header: dict[tuple[str, bool], list[str]] = {}
+    for path, head in sorted(file_heads(spark, as_list(paths)).items()):
+        by_header.setdefault(head, []).append(path)
     frames = []
-    for group in by_header.values():
-        frame = spark.read.option("header", "true").csv(group)
-        frames.append(with_source(frame) if lineage else frame)
+    for (_, spread), group in by_header.items():
+        frame = spark.read.options(header="true", escape='"', emptyValue=EMPTY, multiLine=str(spread).lower()).csv(group)
+        cells = [F.when(F.col(f"`{c}`") != EMPTY, F.col(f"`{c}`")).when(F.col(f"`{c}`") == EMPTY, "").alias(c) for c in frame.columns]
+        frames.append((with_source(frame) if lineage else frame).select(*cells, *([SOURCE_COLUMN] if lineage else [])))
     return diagonal_union(frames)
 
 

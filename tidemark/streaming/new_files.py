@@ -12,7 +12,7 @@ def ingest_new_files(spark: SparkSession, folder: str, schema: str, target: str,
     failed run resumes where it was; ``availableNow`` ends the query once nothing is left.
     """
     stream = (
-        spark.readStream.format(fmt).schema(schema).option("header", "true").option("recursiveFileLookup", "true").load(folder)
+        spark.readStream.format(fmt).schema(schema).option("header", "true").option("escape", '"').option("recursiveFileLookup", "true").load(folder)
         .withColumn("_source_file", F.col("_metadata.file_name"))
     )
     query = (
