@@ -1,8 +1,9 @@
 """Toxicity: a linear classifier on character n-grams whose features are scaled by naive Bayes log-count ratios.
 
-A text's features are the distinct n-grams of its lower-cased code points, hashed into a fixed number of buckets and
-scaled by r = log of the smoothed share of toxic texts having the bucket over that of the other texts. A logistic
-regression on the scaled features is fitted in rounds: every partition of the training rows improves the current
+A text's features are the distinct n-grams of its lower-cased code points, with one blank for everything between words,
+hashed into a fixed number of buckets and scaled by r = log of the share of toxic texts having the bucket over that of
+the other texts. Shares are smoothed by ``smoothing`` rows of the usual mix of labels, so a bucket seen in few texts
+counts little. A logistic regression, with toxic rows weighing ``toxic_weight`` times as much, on the scaled features is fitted in rounds: every partition of the training rows improves the current
 weights on its own rows, and the weights of the partitions are averaged. Training rows are a sample by hash of the
 id of about ``max_rows``, ``part_rows`` to a partition; scoring reads whole texts in one pass without a shuffle.
 
@@ -14,6 +15,7 @@ Further columns are kept, existing columns named like the results are replaced.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,7 +29,8 @@ from tidemark.llm.common import quoted, text_of
 from tidemark.session import pin
 
 SIZES = (4, 6)
-BUCKET_BITS = 18
+BUCKET_BITS = 20
+BETWEEN = re.compile(r"[\W_]+")
 PIECE = 1 << 16  # code points handled at a time, to bound memory on very long texts
 
 
@@ -44,8 +47,9 @@ class Model:
 
 def buckets(text: str) -> np.ndarray:
     """Distinct hash buckets of the text's n-grams."""
-    points = np.frombuffer(text.lower().encode("utf-32-le"), dtype="<u4").astype(np.uint64)
-    seen = np.zeros(1 << BUCKET_BITS, dtype=bool)
+    plain = BETWEEN.sub(" ", f" {text.lower()} ")
+    points = np.frombuffer(plain.encode("utf-32-le"), dtype="<u4").astype(np.uint64)
+    found = [np.zeros(0, dtype=np.uint32)]
     shift = np.uint64(64 - BUCKET_BITS)
     for start in range(0, len(points), PIECE):
         piece = points[start : start + PIECE + max(SIZES) - 1]
@@ -58,8 +62,8 @@ def buckets(text: str) -> np.ndarray:
                 hashed += piece[j : j + len(hashed)]
             hashed ^= hashed >> np.uint64(29)
             hashed *= np.uint64(0xBF58476D1CE4E5B9)
-            seen[hashed >> shift] = True
-    return np.flatnonzero(seen)
+            found.append(np.unique((hashed >> shift).astype(np.uint32)))
+    return np.unique(np.concatenate(found))
 
 
 def training_rows(
@@ -82,7 +86,7 @@ def training_rows(
     return texts.join(F.broadcast(known), F.col("doc") == F.col("id")).select("toxic", "text"), total
 
 
-def log_count_ratios(rows: DataFrame) -> tuple[np.ndarray, int, int]:
+def log_count_ratios(rows: DataFrame, smoothing: float) -> tuple[np.ndarray, int, int]:
     """r per bucket, and the numbers of toxic and other rows."""
     size = 1 << BUCKET_BITS
 
@@ -106,11 +110,14 @@ def log_count_ratios(rows: DataFrame) -> tuple[np.ndarray, int, int]:
     )
     totals = counts[counts.bucket == -1]
     n_other, n_toxic = (int(totals[c].sum()) for c in ("other", "toxic"))
-    other, toxic = np.full(size, 0.5), np.full(size, 0.5)
+    if not n_toxic or not n_other:
+        return np.zeros(size), n_toxic, n_other
+    share = n_toxic / (n_toxic + n_other)
+    other, toxic = np.full(size, smoothing * (1 - share)), np.full(size, smoothing * share)
     counts = counts[counts.bucket >= 0]
     other[counts.bucket] += counts.other
     toxic[counts.bucket] += counts.toxic
-    return np.log((toxic / (n_toxic + 1)) / (other / (n_other + 1))), n_toxic, n_other
+    return np.log(toxic / n_toxic) - np.log(other / n_other), n_toxic, n_other
 
 
 def unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -121,17 +128,20 @@ def unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 def improve(
     labels: np.ndarray, flat: np.ndarray, lengths: np.ndarray, ratio: np.ndarray, start: np.ndarray,
-    steps: int, penalty: float,
+    steps: int, penalty: float, toxic_weight: float = 1.0,
 ) -> np.ndarray:
     """Lower the penalised log-loss of the given rows from ``start``; the last weight is the intercept."""
     used, local = np.unique(flat, return_inverse=True)
     scale, row_of = ratio[used][local], np.repeat(np.arange(len(labels)), lengths)
 
+    weight = np.where(labels == 1, toxic_weight, 1.0)
+    weight /= weight.sum()
+
     def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
         margin = w[-1] + np.bincount(row_of, w[local] * scale, minlength=len(labels))
         chance = 1 / (1 + np.exp(-np.clip(margin, -500, 500)))
-        value = np.mean(np.logaddexp(0, margin) - labels * margin) + penalty / 2 * (w[:-1] @ w[:-1])
-        miss = (chance - labels) / len(labels)
+        value = weight @ (np.logaddexp(0, margin) - labels * margin) + penalty / 2 * (w[:-1] @ w[:-1])
+        miss = (chance - labels) * weight
         slope = np.bincount(local, miss[row_of] * scale, minlength=len(used)) + penalty * w[:-1]
         return value, np.append(slope, miss.sum())
 
@@ -176,14 +186,14 @@ def quasi_newton(loss, x: np.ndarray, steps: int, memory: int = 8) -> np.ndarray
 
 def train(
     docs: DataFrame, labels: DataFrame, usable: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
-    label_col: str = "toxic", max_rows: int = 20_000, part_rows: int = 2_500, rounds: int = 2, steps: int = 30,
-    penalty: float = 1e-3,
+    label_col: str = "toxic", max_rows: int = 12_000, part_rows: int = 2_500, rounds: int = 2, steps: int = 30,
+    penalty: float = 1e-3, smoothing: float = 30.0, toxic_weight: float = 3.0,
 ) -> Model:
     """Fit on the labelled documents for which ``usable`` (a condition on ``id``) holds."""
     usable = F.lit(True) if usable is None else usable
     rows, known = training_rows(docs, labels, usable, id_col, text_col, label_col, max_rows)
     rows = pin(rows.repartition(max(1, -(-min(known, max_rows) // part_rows))))
-    ratio, n_toxic, n_other = log_count_ratios(rows)
+    ratio, n_toxic, n_other = log_count_ratios(rows, smoothing)
     share = (n_toxic + 1) / (n_toxic + n_other + 2)
     prior = float(np.log(share / (1 - share)))
     if not n_toxic or not n_other:
@@ -197,7 +207,7 @@ def train(
             parts = [unpacked(b) for b in batches if b.num_rows]
             if parts:
                 own, flat, lengths = (np.concatenate(x) for x in zip(*parts))
-                new = improve(own, flat, lengths, *sent.value, steps=steps, penalty=penalty)
+                new = improve(own, flat, lengths, *sent.value, steps=steps, penalty=penalty, toxic_weight=toxic_weight)
                 moved = np.flatnonzero(new != sent.value[1])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(moved), pa.array((new - sent.value[1])[moved])], names=["weight", "change"]
