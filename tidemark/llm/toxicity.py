@@ -29,7 +29,7 @@ from tidemark.llm.common import quoted, text_of
 from tidemark.session import pin
 
 SIZES = (4, 6)
-BUCKET_BITS = 20
+BUCKET_BITS = 18
 BETWEEN = re.compile(r"[\W_]+")
 PIECE = 1 << 16  # code points handled at a time, to bound memory on very long texts
 
