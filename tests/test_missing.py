@@ -68,11 +68,33 @@ def test_missing_depends_on_other_column(spark):
     assert ms.missing_auc(df, "t", ["x"]).first()["auc"] > 0.99
 
 
-def test_pairs_are_chunked(spark, numbers, monkeypatch):
-    df = spark.createDataFrame(numbers).replace(float("nan"), None)
-    whole = sorted(map(tuple, ms.nullity_corr(df, ["a", "b", "c"]).collect()))
-    monkeypatch.setattr(ms, "PAIRS_PER_PASS", 1)
-    assert sorted(map(tuple, ms.nullity_corr(df, ["a", "b", "c"]).collect())) == whole
+def test_pairs_of_a_wide_table(spark):
+    rng = np.random.default_rng(3)
+    cells = rng.normal(size=(200, 30))
+    cells[rng.random(cells.shape) < 0.15] = np.nan
+    names = [f"c{i}" for i in range(30)]
+    pdf = pd.DataFrame(cells, columns=names).assign(full=1.0, empty=np.nan)
+    df, names = spark.createDataFrame(pdf), [*names, "full", "empty"]
+    gone = pdf.isna().astype(float)
+    want = {(a, b): gone[a].corr(gone[b]) for k, a in enumerate(names) for b in names[k + 1 :]}
+    got = {(r["a"], r["b"]): r["r"] for r in ms.nullity_corr(df, names).collect()}
+    assert got == pytest.approx({k: v for k, v in want.items() if not np.isnan(v)})
+    far = {(r["a"], r["b"]): r["distance"] for r in ms.nullity_distance(df, names).collect()}
+    assert far == pytest.approx({(a, b): np.sqrt((gone[a] != gone[b]).sum()) for a, b in want})
+    r = {(r["value_column"], r["missing_column"]): r["r"] for r in ms.value_missing_corr(df, names[:5], names).collect()}
+    for (v, m), value in r.items():
+        known = pdf[v].notna()
+        expected = pdf.loc[known, v].corr(gone.loc[known, m])
+        assert value is None if np.isnan(expected) else value == pytest.approx(expected)
+    assert len(r) == 5 * len(names) - 5
+
+
+def test_pairs_of_empty_tables(spark):
+    df = spark.createDataFrame([], "a double, b string")
+    assert ms.nullity_corr(df, ["a", "b"]).count() == 0
+    assert [r["distance"] for r in ms.nullity_distance(df, ["a", "b"]).collect()] == [0.0]
+    assert [r["r"] for r in ms.value_missing_corr(df, ["a"], ["b"]).collect()] == [None]
+    assert ms.nullity_distance(df, ["a"]).count() == 0
 
 
 def test_mice_recovers_a_linear_column(spark):

@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Sequence
 from functools import reduce
-from itertools import combinations
 from operator import or_
 
 import numpy as np
@@ -17,9 +16,7 @@ from tidemark.functions.missing import is_missing, null_if_nan
 from tidemark.functions.ordering import running_total
 from tidemark.functions.quantiles import quantiles
 from tidemark.operators.aggregates import percent_by_group
-from tidemark.operators.profile import correlation
-
-PAIRS_PER_PASS = 400
+from tidemark.session import pin
 
 
 def missing_flags(df: DataFrame, columns: Sequence[str], suffix: str = "_missing") -> DataFrame:
@@ -69,42 +66,102 @@ def nullity_patterns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(digits.alias("pattern")).groupBy("pattern").agg(F.count(F.lit(1)).alias("count"))
 
 
-def _pairwise(df: DataFrame, pairs: Sequence[tuple[str, str]], measure, name: str) -> DataFrame:
-    """Aggregate column pairs in wide passes of bounded width; long output ``(a, b, name)``."""
-    out = None
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        chunk = pairs[start : start + PAIRS_PER_PASS]
-        wide = df.agg(
-            *[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), measure(a, b).alias(name)).alias(f"c{i}") for i, (a, b) in enumerate(chunk)]
+EVERY_ROW = -1  # stands beside the positions of missing columns, so that totals come from the same counts
+
+
+def _gone(df: DataFrame, columns: Sequence[str]) -> Column:
+    """``EVERY_ROW`` and the positions of the row's missing columns."""
+    return F.array_compact(
+        F.array(F.lit(EVERY_ROW), *[F.when(is_missing(df, c), F.lit(i)) for i, c in enumerate(columns)])
+    )
+
+
+def _named(columns: Sequence[str], position: str) -> Column:
+    return F.get(F.array(*[F.lit(c) for c in columns]), F.col(position))
+
+
+def missing_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(a, b, n, na, nb, nab)`` for every pair of columns: all rows, rows missing a, missing b, missing both.
+
+    One scan counts the distinct patterns; pairs are unfolded from the gaps of each pattern, so the work follows
+    the missing values and not the number of scans. The counts of all pairs, a number that the schema fixes, meet in
+    one sorted array, where each is found by its place.
+    """
+    width = len(columns)
+    every = F.sequence(F.lit(EVERY_ROW), F.lit(width - 1))
+    gone = F.filter(every, lambda i: (i == EVERY_ROW) | (F.substring("pattern", i + 1, 1) == "1"))
+    # the outer form adds no filter, which Spark would move below the count and evaluate for every row
+    found = (
+        nullity_patterns(df, columns).select(gone.alias("gone"), F.col("count").alias("rows"))
+        .select("gone", "rows", F.explode_outer("gone").alias("i"))
+        .select("i", F.explode_outer(F.filter("gone", lambda g: g >= F.col("i"))).alias("j"), "rows")
+    )
+    none = df.sparkSession.range(1).select(F.explode(every).alias("i")).select(
+        "i", F.explode(F.sequence(F.col("i"), F.lit(width - 1))).alias("j"), F.lit(0).cast("bigint").alias("rows")
+    )
+    counts = found.union(none).groupBy("i", "j").agg(F.sum("rows").alias("rows"))
+    table = counts.agg(F.sort_array(F.collect_list(F.struct("i", "j", "rows"))).alias("t"))
+
+    def count(i: Column, j: Column) -> Column:
+        """Rows missing both: row i of the triangle starts after the i - EVERY_ROW longer ones before it."""
+        before = i - EVERY_ROW
+        start = before * (width + 1) - (before * (before - 1) / 2).cast("int")
+        return F.get(F.col("t"), start + j - i)["rows"]
+
+    def pair(i: Column, j: Column) -> Column:
+        all_rows, name = F.lit(EVERY_ROW), F.array(*[F.lit(c) for c in columns])
+        return F.struct(
+            F.get(name, i).alias("a"), F.get(name, j).alias("b"), count(all_rows, all_rows).alias("n"),
+            count(all_rows, i).alias("na"), count(all_rows, j).alias("nb"), count(i, j).alias("nab"),
         )
-        part = wide.select(F.inline(F.array(*[F.col(f"c{i}") for i in range(len(chunk))])))
-        out = part if out is None else out.unionByName(part)
-    return out
+
+    pairs = F.flatten(
+        F.transform(
+            F.sequence(F.lit(0), F.lit(width - 1)),
+            lambda i: F.transform(F.slice(F.sequence(F.lit(0), F.lit(width - 1)), i + 2, F.lit(width)), lambda j: pair(i, j)),
+        )
+    )
+    return table.select(F.inline(pairs))
 
 
 def nullity_corr(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Correlation of missing flags for pairs of columns that are neither full nor empty."""
-    flags = df.select(*[is_missing(df, c).cast("int").alias(c) for c in columns])
-    pairs = list(combinations(columns, 2))
-    return _pairwise(flags, pairs, lambda a, b: correlation(F.col(a), F.col(b)), "r").where(F.col("r").isNotNull())
+    n, na, nb, nab = (F.col(c).cast("double") for c in ("n", "na", "nb", "nab"))
+    spread = F.sqrt(na * (n - na)) * F.sqrt(nb * (n - nb))
+    r = F.try_divide(n * nab - na * nb, spread)
+    return missing_pairs(df, columns).select("a", "b", r.alias("r")).where(F.col("r").isNotNull())
 
 
 def nullity_distance(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Euclidean distance of missing flags for every pair of columns."""
-    flags = df.select(*[is_missing(df, c).alias(c) for c in columns])
-    return _pairwise(
-        flags, list(combinations(columns, 2)), lambda a, b: F.sqrt(F.count_if(F.col(a) != F.col(b)).cast("double")), "distance"
-    )
+    differ = F.col("na") + F.col("nb") - 2 * F.col("nab")
+    return missing_pairs(df, columns).select("a", "b", F.sqrt(differ.cast("double")).alias("distance"))
 
 
 def value_missing_corr(df: DataFrame, values: Sequence[str], missing: Sequence[str]) -> DataFrame:
-    """Correlation of observed values with missing flags, over rows where the value is present."""
-    base = df.select(
-        *[null_if_nan(df, v).alias(f"v_{v}") for v in values], *[is_missing(df, m).cast("int").alias(f"m_{m}") for m in missing]
+    """Correlation of observed values with missing flags, over rows where the value is present.
+
+    With a flag, the correlation follows from the mean where it holds and the mean and spread of all rows, so one
+    scan with a map-side combine measures any number of pairs.
+    """
+    given = F.array(
+        *[F.struct(F.lit(i).alias("v"), null_if_nan(df, v).cast("double").alias("x")) for i, v in enumerate(values)]
+    )
+    seen = df.select(_gone(df, missing).alias("gone"), F.inline(F.filter(given, lambda g: g["x"].isNotNull())))
+    cells = pin(
+        seen.select("v", "x", F.explode_outer("gone").alias("m")).groupBy("v", "m")
+        .agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"))
+    )
+    whole = cells.where(F.col("m") == EVERY_ROW).select("v", *[F.col(c).alias(f"all_{c}") for c in ("n", "mean", "std")])
+    pairs = df.sparkSession.range(len(values)).select(
+        F.col("id").cast("int").alias("v"), F.explode(F.sequence(F.lit(0), F.lit(len(missing) - 1))).alias("m")
     )
-    pairs = [(v, m) for v in values for m in missing if v != m]
-    return _pairwise(base, pairs, lambda v, m: correlation(F.col(f"v_{v}"), F.col(f"m_{m}")), "r").withColumnsRenamed(
-        {"a": "value_column", "b": "missing_column"}
+    share = F.coalesce(F.col("n") / F.col("all_n"), F.lit(0.0))
+    r = F.try_divide(share * (F.col("mean") - F.col("all_mean")), F.col("all_std") * F.sqrt(share * (1 - share)))
+    return (
+        pairs.join(cells.drop("std"), ["v", "m"], "left").join(whole, "v", "left")
+        .select(_named(values, "v").alias("value_column"), _named(missing, "m").alias("missing_column"), r.alias("r"))
+        .where(F.col("value_column") != F.col("missing_column"))
     )
 
 
