@@ -29,8 +29,8 @@ def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates on five-word shingles, at least 60 of 64 bits alike."""
-    return simhash.keep_one_per_group(docs, shingle=5, radius=4)
+    """One document of each group of near-duplicates: five-word shingles with 60 of 64 fingerprint bits alike or Jaccard 0.8."""
+    return simhash.keep_one_per_group(docs, shingle=5, radius=4, similarity=0.8)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

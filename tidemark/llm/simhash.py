@@ -16,7 +16,7 @@ Empty tables give empty results.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
+from tidemark.llm import shingle_sets
 from tidemark.llm.common import (
     connected_components, fresh, key_runs, merge_labels, quoted, row_key, run_starts, text_of,
 )
@@ -38,24 +39,38 @@ HASH_ROWS = 1 << 16
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
-def fingerprint(text: str, shingle: int) -> int:
-    """Unsigned fingerprint of one text; repeated shingles count as often as they occur."""
+def shingled(text: str, shingle: int) -> tuple[bytes, int, Iterator[np.ndarray]]:
+    """Words joined by single blanks, number of shingles, and their hashes in blocks."""
     words = text.encode().translate(LOWER).split()
-    if not words:
-        return 0
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.append(0, ends[:-1] + 1)
+    starts = np.append(0, ends[:-1] + 1) if words else ends
     if len(words) > shingle:
         starts, ends = starts[: len(words) - shingle + 1], ends[shingle - 1 :]
     else:
         starts, ends = starts[:1], ends[-1:]
-    ones, digest = np.zeros(64, dtype=np.int64), xxhash.xxh64_intdigest
-    for at in range(0, len(starts), HASH_ROWS):
-        cuts = zip(starts[at : at + HASH_ROWS].tolist(), ends[at : at + HASH_ROWS].tolist())
-        hashes = np.array([digest(joined[a:b], SEED) for a, b in cuts], dtype="<u8")
+
+    def blocks() -> Iterator[np.ndarray]:
+        digest = xxhash.xxh64_intdigest
+        for at in range(0, len(starts), HASH_ROWS):
+            cuts = zip(starts[at : at + HASH_ROWS].tolist(), ends[at : at + HASH_ROWS].tolist())
+            yield np.array([digest(joined[a:b], SEED) for a, b in cuts], dtype="<u8")
+
+    return joined, len(starts), blocks()
+
+
+def majority(blocks: Iterable[np.ndarray], total: int) -> int:
+    """Bits that more than half of ``total`` hashes have."""
+    ones = np.zeros(64, dtype=np.int64)
+    for hashes in blocks:
         ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(starts), bitorder="little").view("<u8")[0])
+    return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0])
+
+
+def fingerprint(text: str, shingle: int) -> int:
+    """Unsigned fingerprint of one text; repeated shingles count as often as they occur."""
+    _, total, blocks = shingled(text, shingle)
+    return majority(blocks, total)
 
 
 def with_fingerprints(docs: DataFrame, text_col: str, shingle: int, out: str = "fingerprint") -> DataFrame:
@@ -202,12 +217,18 @@ def grouped(
             ), "text", shingle, "fp",
         ).select("id", "row", "fp")
     )
+    return rows, fingerprint_classes(rows, radius)
+
+
+def fingerprint_classes(rows: DataFrame, radius: int) -> DataFrame:
+    """(own_fp, root) of every distinct fingerprint."""
     distinct = pin(rows.select("fp").distinct())
     roots = connected_components(fingerprint_links(distinct, radius), "a", "b")
-    classes = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
-        F.col("fp").alias("own_fp"), F.coalesce("root", "fp").alias("root")
+    return pin(
+        distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
+            F.col("fp").alias("own_fp"), F.coalesce("root", "fp").alias("root")
+        )
     )
-    return rows, pin(classes)
 
 
 def near_duplicates(
@@ -225,13 +246,18 @@ def near_duplicates(
 
 
 def keep_one_per_group(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 4
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 4,
+    similarity: float | None = None,
 ) -> DataFrame:
     """One row of every group of near-duplicates, the one with the smallest id, with all its columns.
 
-    A row without an id stays only where no row of its group has one.
+    With ``similarity``, texts whose sets of shingles have at least that Jaccard similarity link too, however far apart their
+    fingerprints are. A row without an id stays only where no row of its group has one.
     """
-    rows, classes = grouped(docs, id_col, text_col, shingle, radius)
+    if similarity is None:
+        rows, classes = grouped(docs, id_col, text_col, shingle, radius)
+    else:
+        rows, classes = shingle_sets.grouped(docs, id_col, text_col, shingle, radius, similarity)
     first = F.min(F.struct(F.col("id").isNull().alias("blank"), F.col("id"), F.col("row"))).alias("first")
     firsts = pin(rows.groupBy("fp").agg(first))
     placed = firsts.join(classes, F.col("fp") == F.col("own_fp"))
