@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-# Label | words that open the gate | name as a regular expression | words of its address, if any
+# Label | words that open the gate (_ for a blank at an edge) and stand in every match | name as a regular expression | words of its address, if any
 FAMILIES = """
 mit | mit | (?:the )?mit(?: x11)? | opensource org licenses? mit
 mit-0 | mit | mit (?:0|no attribution) | opensource org licenses? mit 0
@@ -20,14 +20,14 @@ bsd-2-clause | bsd | (?:simplified bsd|freebsd|bsd 2 clause|2 clause bsd|two cla
 bsd-3-clause | bsd | (?:new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd|three clause bsd) | opensource org licenses? bsd 3 clause
 bsd-4-clause | bsd | (?:original bsd|bsd 4 clause|4 clause bsd|four clause bsd) | directory fsf org wiki license bsd 4clause
 0bsd | bsd | (?:0bsd|zero clause bsd|bsd 0 clause) | opensource org licenses? 0bsd
-isc | isc licen | (?:the )?isc | opensource org licenses? isc
+isc | _isc_ | (?:the )?isc | opensource org licenses? isc
 gpl-1 | general public | gnu general public license(?: version| v)? 1(?: 0)? | gnu org licenses (?:old licenses )?gpl 1 0
 gpl-2 | general public | gnu general public license(?: version| v)? 2(?: 0)? | gnu org licenses (?:old licenses )?gpl 2 0
 gpl-3 | general public | gnu general public license(?: version| v)? 3(?: 0)? | gnu org licenses gpl 3 0
 gpl | general public | gnu general public license | gnu org licenses gpl
 gpl-2-short | gpl | (?:gnu )?gpl(?: version| v)? ?2(?: 0)? | gnu org copyleft gpl 2
 gpl-3-short | gpl | (?:gnu )?gpl(?: version| v)? ?3(?: 0)? | gnu org copyleft gpl 3
-lgpl-2 | lesser | gnu (?:library|lesser) general public license(?: version| v)? 2(?: 0)? | gnu org licenses (?:old licenses )?lgpl 2 0
+lgpl-2 | general public | gnu (?:library|lesser) general public license(?: version| v)? 2(?: 0)? | gnu org licenses (?:old licenses )?lgpl 2 0
 lgpl-2.1 | lesser | gnu lesser general public license(?: version| v)? 2 1 | gnu org licenses (?:old licenses )?lgpl 2 1
 lgpl-3 | lesser | gnu lesser general public license(?: version| v)? 3(?: 0)? | gnu org licenses lgpl 3 0
 lgpl | lesser | gnu lesser general public license | gnu org licenses lgpl
@@ -54,7 +54,7 @@ artistic-1 | artistic | artistic license(?: version| v)? 1(?: 0)? | opensource o
 artistic-2 | artistic | artistic license(?: version| v)? 2(?: 0)? | opensource org licenses? artistic license 2 0
 boost-1 | boost | boost software license(?: version| v)? 1(?: 0)? | boost org license 1 0
 zlib | zlib | (?:the )?zlib(?: libpng)? | opensource org licenses? zlib
-libpng-2 | libpng | (?:png reference library|libpng)(?: version| v)? 2(?: 0)? | libpng org pub png src libpng license
+libpng-2 | png | (?:png reference library|libpng)(?: version| v)? 2(?: 0)? | libpng org pub png src libpng license
 unlicense | unlicense | (?:the )?unlicense | unlicense org
 wtfpl | public license | do what the f\\w+ you want to public license | wtfpl net
 beerware | beerware | (?:the )?beerware | people freebsd org phk
@@ -110,7 +110,7 @@ no-rights-reserved | rights reserved | no rights reserved | 45 | 60
 public-domain | public domain | (?:released|placed|dedicated|put) (?:in|into|to) the public domain | 60 | 90
 public-domain | public domain | in the public domain | 30 | 60
 proprietary | proprietary | proprietary and confidential | 50 | 80
-proprietary | reproduction | (?:unauthori[sz]ed )?(?:copying|reproduction|distribution)(?: of this (?:file|work))? is (?:strictly )?prohibited | 50 | 80
+proprietary | prohibited | (?:unauthori[sz]ed )?(?:copying|reproduction|distribution)(?: of this (?:file|work))? is (?:strictly )?prohibited | 50 | 80
 warranty-disclaimer | warranty | without warranty of any kind | 20 | 40
 warranty-disclaimer | warranties | without warranties or conditions of any kind | 20 | 40
 as-is | as is | (?:provided|distributed) (?:on an )?as is(?: basis)? | 20 | 40
@@ -118,7 +118,8 @@ permissive-text | permission is hereby granted | permission is hereby granted fr
 permissive-text | permission to use | permission to use copy modify and or? ?distribute this software | 55 | 80
 redistribution-text | redistribution and use | redistribution and use in source and binary forms with or without modification are permitted | 55 | 85
 copyleft-text | free software | this program is free software you can redistribute it and or modify it | 55 | 80
-non-commercial | commercial | for (?:non ?commercial|personal|academic|research)(?: and (?:non ?commercial|academic|research))? (?:use|purposes) only | 35 | 60
+non-commercial | use only | for (?:non ?commercial|personal|academic|research)(?: and (?:non ?commercial|academic|research))? use only | 35 | 60
+non-commercial | purposes only | for (?:non ?commercial|personal|academic|research)(?: and (?:non ?commercial|academic|research))? purposes only | 35 | 60
 copyright-notice | copyright | copyright (?:c )?(?:19|20)\\d\\d | 25 | 40
 source-available | source available | source available license | 35 | 50
 dual-licence | licensed | dual licensed | 35 | 50
@@ -156,6 +157,7 @@ def rules() -> list[Rule]:
 
     for line in FAMILIES.strip().splitlines():
         label, gate, name, address = (part.strip().replace("\\\\", "\\") for part in line.split(" | "))
+        gate = gate.replace("_", " ")
         spdx = " ".join(label.replace(".", " ").replace("-", " ").split())
         wordy = "licen" in name or len(name.split()) > 3  # a name that says by itself that it is a licence
         names = [(gate, name)]
