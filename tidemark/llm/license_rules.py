@@ -11,8 +11,8 @@ from dataclasses import dataclass
 
 # Label | words that open the gate (_ for a blank at an edge) and stand in every match | name as a regular expression | words of its address, if any
 FAMILIES = """
-mit | mit | (?:the )?mit(?: x11)? | opensource org licenses? mit
-mit-0 | mit | mit (?:0|no attribution) | opensource org licenses? mit 0
+mit | _mit_ | (?:the )?mit(?: x11)? | opensource org licenses? mit
+mit-0 | _mit_ | mit (?:0|no attribution) | opensource org licenses? mit 0
 apache-1.0 | apache | apache(?: software)?(?: license)?(?: version)? 1 0 | apache org licenses license 1 0
 apache-1.1 | apache | apache(?: software)?(?: license)?(?: version)? 1 1 | apache org licenses license 1 1
 apache-2 | apache | apache(?: software)?(?: license)?(?: version| v)? 2(?: 0)? | apache org licenses license 2 0

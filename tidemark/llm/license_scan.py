@@ -1,8 +1,8 @@
 """Licence scan with ordered signature rules, in Spark expressions alone.
 
 A text is lower-cased (A-Z) and cut into words of letters, digits and non-ASCII characters. Rules are regular expressions over the
-words joined by single spaces. A text that holds none of the opening words is done at once; otherwise each rule is tried
-only where its own gate words occur. Every match is an interval of words with a priority. A detection
+words joined by single spaces. A text that holds no word of any gate is done at once; otherwise each rule is tried
+only where its own gate words occur, which stand in every match. Every match is an interval of words with a priority. A detection
 is suppressed when another one contains its interval and has a higher priority, or the same and a longer interval, or
 the same of both and an earlier rule. Base phrases are always found, whatever the rules say.
 
@@ -30,11 +30,9 @@ BASE_PHRASES = {
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # what stands between words; the class of the word characters themselves, a complement, is several times slower in Java
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-# the keyword prefilter: rules are tried on texts that hold one of these words, or a Creative Commons short name
-OPENING = [
-    "licen", "copyright", "reserved", "public domain", "spdx", "gpl", "warrant", "permission", "redistribution", "proprietary",
-    "prohibited", "creative commons", "free software",
-]
+# the keyword prefilter: no rule can match a text without the longest word of its gate, or without a Creative Commons short name
+OPENING = sorted({max(r.gate.split(), key=len) for r in rules() if not r.gate.startswith("cc")})
+OPENING = [w for w in OPENING if not any(o in w for o in OPENING if o != w)]
 CREATIVE = r"(?:^|[\x00-\x2F\x3A-\x60\x7B-\x7F])cc(?:0|[\x00-\x2F\x3A-\x60\x7B-\x7F]+by)(?:[\x00-\x2F\x3A-\x60\x7B-\x7F]|$)"
 
 
@@ -43,10 +41,13 @@ def spaces(text: Column) -> Column:
 
 
 def rule_table() -> Column:
-    """The rules as a constant."""
+    """The rules as a constant, under their gates."""
+    gates: dict[str, list[dict]] = {}
+    for r in rules():
+        gates.setdefault(r.gate, []).append(asdict(r))
     return F.from_json(
-        F.lit(json.dumps([asdict(r) for r in rules()])),
-        "array<struct<number:int,label:string,gate:string,pattern:string,priority:int,relevance:double>>",
+        F.lit(json.dumps([{"gate": g, "rules": found} for g, found in gates.items()])),
+        "array<struct<gate:string,rules:array<struct<number:int,label:string,pattern:string,priority:int,relevance:double>>>>",
     )
 
 
@@ -118,7 +119,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         firsts.append(F.when(at > 0, spaces(F.substring(w, F.lit(1), at)) - 1))
         lasts.append(F.when(back > 0, spaces(F.substring(w, F.lit(1), end - len(framed) + 1)) - 1))
         labels.append(F.when(at > 0, F.lit(label)))
-    rules_here = F.filter(rule_table(), lambda r: F.contains(w, r["gate"]))
+    gates_here = F.filter(rule_table(), lambda g: F.contains(w, g["gate"]))
+    rules_here = F.flatten(F.transform(gates_here, lambda g: g["rules"]))
     found = F.when(w.isNotNull(), F.flatten(F.transform(rules_here, lambda r: matches(w, r))))
     empty = F.array().cast("array<struct<number:int,label:string,priority:int,relevance:double,first:int,last:int>>")
     rows = rows.select(
