@@ -6,12 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    byte_bpe, chat_format, decontaminate, license_scan, line_templates, nn_descent, pii_pseudonyms, simhash, suffix_dedup,
-    toxicity,
+    byte_bpe, chat_format, collocations, decontaminate, license_scan, line_templates, nn_descent, pii_pseudonyms, simhash,
+    suffix_dedup, token_alignment, token_files, toxicity,
 )
+from tidemark.session import scratch_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")  # the same vocabulary as the ranks in byte_bpe_50k.tiktoken
 PATTERN = public_tokenizers.PATTERN
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+END_ID = 2
 TOXIC_FROM = 0.3
 PSEUDONYM_KEY = "example key, to be replaced"
 
@@ -123,11 +126,65 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.token_digests(table(spark, sf_dir, "documents"), VOCABULARY, PATTERN)
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document in packed files, with an end id, and what the files hold when they are read back."""
+    docs = table(spark, sf_dir, "documents")
+    return token_files.token_file_digests(docs, scratch_path(spark, "tokens"), VOCABULARY, PATTERN, END_ID)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of every language."""
+    return collocations.mine_phrases(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+with texts as (
+    select coalesce(lang, 'und') as lang,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+    from documents
+), pieces as (select lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) as piece from texts),
+cut as (select lang, [x for x in string_split_regex(piece, '[ \t]+') if x <> ''] as w from pieces),
+places as (select lang, w, unnest(generate_series(1, len(w))) as i from cut where len(w) > 0),
+runs as (select lang, w, i, unnest([1, 2, 3, 4]) as k from places),
+f as (
+    select lang, array_to_string(w[i:i + k - 1], ' ') as phrase, k, count(*) as a from runs
+    where i + k - 1 <= len(w) group by all
+), sizes as (select lang, sum(a) as n from f where k = 1 group by lang),
+candidates as (select lang, phrase, k, a, string_split(phrase, ' ') as w from f where k >= 2 and a >= 30),
+cuts as (
+    select lang, phrase, k, a, w, c, array_to_string(w[1:c], ' ') as lp, array_to_string(w[c + 1:k], ' ') as rp
+    from (select *, unnest(generate_series(1, k - 1)) as c from candidates)
+), scored as (
+    select cuts.lang, cuts.phrase, cuts.a, c, l.a as l, r.a as r, (2000000::hugeint * cuts.a) // (l.a + r.a) as score
+    from cuts join f l on l.lang = cuts.lang and l.phrase = lp join f r on r.lang = cuts.lang and r.phrase = rp
+), lowest as (
+    select *, row_number() over (partition by lang, phrase order by score, c) as first from scored
+), inner_runs as (
+    select lang, a as longer, array_to_string(w[s:s + v - 1], ' ') as phrase
+    from (select *, unnest(generate_series(1, k)) as s from candidates where k > 2), (values (2), (3)) as sizes(v)
+    where v < k and s + v - 1 <= k
+), hidden as (
+    select distinct i.lang, i.phrase from inner_runs i join candidates c on c.lang = i.lang and c.phrase = i.phrase
+    where 100::hugeint * longer >= 80::hugeint * c.a
+), ranked as (
+    select lang, phrase, a, l, r, score,
+        row_number() over (partition by lang order by score desc, a desc, phrase) as rank
+    from lowest where first = 1 and not exists (select 1 from hidden h where h.lang = lowest.lang and h.phrase = lowest.phrase)
+)
+select lang, rank, phrase, a, l, r, n::bigint as n, score::bigint as score from ranked join sizes using (lang) where rank <= 2000
+"""
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids under two tokenizers aligned, with counts of linked ids over all documents."""
+    return token_alignment.align_documents(table(spark, sf_dir, "documents"), VOCABULARY, PATTERN, PIECES)
+
+
 LLM_QUERIES = {
     f.__name__: f
     for f in (
         op1_chat_format, op2_toxicity, op3_simhash, op4_line_templates, op5_decontamination, op6_suffix_dedup, op7_license_scan,
-        op8_pii_pseudonyms, op9_nn_descent, op10_byte_bpe,
+        op8_pii_pseudonyms, op9_nn_descent, op10_byte_bpe, op11_token_files, op12_collocations, op13_token_alignment,
     )
 }
-LLM_ORACLES = {"op1_chat_format": OP1_SQL, "op9_nn_descent": OP9_SQL}
+LLM_ORACLES = {"op1_chat_format": OP1_SQL, "op9_nn_descent": OP9_SQL, "op12_collocations": OP12_SQL}
