@@ -91,3 +91,16 @@ def test_star_model_round_trip(spark, many_partitions):
     back = fact.join(dims["pq"], "pq").select("p", "q", "v")
     assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
     assert dims["pq"].count() == 3
+
+
+def test_a_key_repeated_on_both_sides_pairs_in_order(spark, many_partitions):
+    from tidemark.operators.reconcile import cell_diff
+
+    left = [(None, i % 40) for i in range(120)] + [(1, 5), (2, 6), (2, 6)]
+    right = [(None, i % 40) for i in range(119)] + [(1, 7), (2, 6), (2, 9)]
+    frames = [spark.createDataFrame(x, "k int, v int").repartition(6) for x in (left, right)]
+    got = [tuple(r) for r in cell_diff(*frames, ["k"], ["k", "v"]).collect()]
+    a, b = (sorted(v for k, v in x if k is None) for x in (left, right))
+    want = [(None, "value", "v", str(x), str(y)) for x, y in zip(a, b) if x != y] + [(None, "source_only", None, None, None)]
+    want += [(1, "value", "v", "5", "7"), (2, "value", "v", "6", "9")]
+    assert sorted(got, key=str) == sorted(want, key=str)

@@ -6,9 +6,10 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.ordering import expand_counts, spread_running_total, spread_sort
+from tidemark.functions.joins import null_safe_join
+from tidemark.functions.ordering import expand_counts, running_total, spread_running_total, spread_sort
 
 SECTION_SEPARATOR = "__"
 
@@ -54,13 +55,25 @@ def split_sections(wide: DataFrame, sections: Sequence[str], row_idx: str = "row
 def paired(source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Full outer join on the keys with both rows as structs ``s`` and ``t`` (null on a missing side).
 
-    Null keys match each other. Rows that repeat a key pair up one to one, in the order of their columns.
+    Null keys match each other. Rows that repeat a key pair up one to one, in the order of their columns; only these are
+    ranked, spread over range partitions, so a key that fills much of a table does not end in one task.
     """
-    place = Window.partitionBy(*keys).orderBy(*columns)
 
     def numbered(df: DataFrame, side: str) -> DataFrame:
-        rows = df.select(*keys, *[c for c in columns if c not in keys]).withColumn("__place", F.row_number().over(place))
-        return rows.select(*[F.col(k).alias(f"__{side}_{k}") for k in keys], F.col("__place").alias(f"__{side}"), F.struct(*columns).alias(side))
+        rows = df.select(*keys, *[c for c in columns if c not in keys])
+        first = F.lit(1).cast("bigint").alias("__place")
+        repeated = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where("__rows > 1").select(*keys)
+        if repeated.isEmpty():
+            placed = rows.select("*", first)
+        else:
+            tagged = null_safe_join(rows, repeated.withColumn("__again", F.lit(True)), keys)
+            counted = tagged.where("__again").groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("__n"))
+            order = rows.columns[len(keys):] or list(keys)
+            ranked = running_total(counted, order, F.col("__n"), "__hi", keys, plain_limit=0)
+            placed = tagged.where("__again is null").select(*rows.columns, first).unionByName(
+                expand_counts(ranked, F.col("__hi") - F.col("__n") + 1, F.col("__n"), "__place").drop("__n", "__hi")
+            )
+        return placed.select(*[F.col(k).alias(f"__{side}_{k}") for k in keys], F.col("__place").alias(f"__{side}"), F.struct(*columns).alias(side))
 
     same = reduce(and_, [F.col(f"__s_{k}").eqNullSafe(F.col(f"__t_{k}")) for k in keys], F.col("__s") == F.col("__t"))
     pairs = numbered(source, "s").join(numbered(target, "t"), same, "full_outer")

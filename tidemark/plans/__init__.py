@@ -1,6 +1,7 @@
 """Importing this package registers every query."""
 
 from tidemark.plans import (  # noqa: F401
+    alignpack,
     boostpack,
     encodingpack,
     filepack,
