@@ -142,6 +142,13 @@ def detect_encoding(lines: DataFrame) -> DataFrame:
     )
 
 
+def output_name(path: Column, source: str) -> Column:
+    """Name of a file's output: its path below ``source`` without ending, so that equal names in different folders stay apart."""
+    inside = F.substring_index(path, source.rstrip("/").split(":", 1)[-1].rstrip("/") + "/", -1)
+    plain = F.regexp_replace(F.regexp_replace(inside, r"^[a-z]+:/+", ""), r"\.[^./]*$", "")
+    return F.concat(F.regexp_replace(plain, "/", "__"), F.lit("_utf8"))
+
+
 def fix_encoding(spark: SparkSession, source: str, target: str, strategy: str = "replace") -> DataFrame:
     """Convert all files below ``source`` to UTF-8 and return the detected encodings.
 
@@ -158,8 +165,7 @@ def fix_encoding(spark: SparkSession, source: str, target: str, strategy: str =
         lines = known.select("path", value.alias("value"))
     else:
         lines = lines.select("path", repair(F.col("value"), strategy).alias("value"))
-    name = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "_utf8")
-    lines.select("value", name.alias("file")).write.mode("overwrite").partitionBy("file").text(target)
+    lines.select("value", output_name(F.col("path"), source).alias("file")).write.mode("overwrite").partitionBy("file").text(target)
     return detected
 
 

@@ -3,6 +3,7 @@
 from tidemark.plans import (  # noqa: F401
     alignpack,
     boostpack,
+    charsetpack,
     encodingpack,
     filepack,
     imputepack,
