@@ -2,7 +2,7 @@
 
 Lines of plain ASCII are counted in the JVM and go no further. The others give, per file, histograms of bytes and neighbouring bytes and the number of lines that
 the automaton of each multi-byte encoding accepts; these are added up with a map-side combine, so at most 65,536 pairs per file are shuffled however long it is.
-A file of no other bytes is ASCII, one of many zero bytes UTF-16 (a line feed leaves its other byte at the start or at the end of a line), one that the UTF-8
+A file of no other bytes is ASCII, one with zero bytes whose lines all read as UTF-16 is that (a line feed leaves its other byte at the start or at the end of a line), one that the UTF-8
 automaton accepts UTF-8, one that a two-byte encoding accepts that encoding if its common characters are frequent. What is left is read under every
 single-byte encoding: letters are weighed by tables of the languages written in it, and neighbours by whether letters and cases fit together.
 """
@@ -47,10 +47,9 @@ DOUBLE = {
 UTF_8 = rb"(?:[\x00-\x7F]|[\xC2-\xDF][\x80-\xBF]|\xE0[\xA0-\xBF][\x80-\xBF]|[\xE1-\xEC\xEE\xEF][\x80-\xBF]{2}|\xED[\x80-\x9F][\x80-\xBF]|\xF0[\x90-\xBF][\x80-\xBF]{2}|[\xF1-\xF3][\x80-\xBF]{3}|\xF4[\x80-\x8F][\x80-\xBF]{2})*+"
 USUAL_MARKS = "“”‘’‚„–—…«»‹›°€£§©®·¿¡\u00a0"
 COMMON_SHARE = 0.12  # of the characters of a text in a two-byte encoding
-NUL_SHARE = 0.2
 
 BYTE, PAIR, FACT = 0, 1, 2
-FACTS = ["lines", "nul_first", "nul_last", "utf-8"] + [f"{kind}:{name}" for name in DOUBLE for kind in ("valid", "chars", "common")]
+FACTS = ["lines", "nul_first", "nul_last", "utf-16-le", "utf-16-be", "utf-8"] + [f"{kind}:{name}" for name in DOUBLE for kind in ("valid", "chars", "common")]
 
 
 @lru_cache(maxsize=1)
@@ -62,10 +61,24 @@ def automata() -> tuple:
     return re.compile(UTF_8), double
 
 
+def utf_16_line(line: bytes, name: str) -> bytes:
+    """The line without the other byte of the line feed that the split has left at its start or its end."""
+    return line if len(line) % 2 == 0 else line[1:] if name == "utf-16-le" else line[:-1]
+
+
+def readable(data: bytes, name: str) -> bool:
+    try:
+        return data.decode(name).replace("\t", "").replace("\r", "").replace("\ufeff", "").replace("\u3000", "").isprintable()
+    except UnicodeDecodeError:
+        return False
+
+
 def facts_of(line: bytes) -> dict[str, int]:
     """What one line adds to its file's facts."""
     utf_8, double = automata()
     out = {"lines": 1, "nul_first": int(line[:1] == b"\0"), "nul_last": int(line[-1:] == b"\0"), "utf-8": int(utf_8.fullmatch(line) is not None)}
+    if b"\0" in line or not out["utf-8"]:
+        out |= {name: int(readable(utf_16_line(line, name), name)) for name in ("utf-16-le", "utf-16-be")}
     for name, (whole, pair, known) in double.items():
         if whole.fullmatch(line):
             chars = [c for c in pair.findall(line)]
@@ -155,8 +168,11 @@ def decide(counts: np.ndarray, pairs: np.ndarray, facts: dict[str, int]) -> tupl
     lines = facts["lines"]
     if not lines:
         return "ascii", None, 1.0
-    if counts[0] >= NUL_SHARE * counts.sum():
-        return ("utf-16-le" if facts["nul_first"] < facts["nul_last"] else "utf-16-be"), None, counts[0] / counts.sum()
+    le, be = facts["utf-16-le"], facts["utf-16-be"]
+    if counts[0] and max(le, be) == lines:
+        if le == be:  # both readable, as Latin letters are as Han characters: the line feeds tell
+            le, be = facts["nul_last"], facts["nul_first"]
+        return ("utf-16-le" if le > be else "utf-16-be"), None, 1.0
     if facts["utf-8"] == lines:
         return ("utf-8" if counts[128:].any() else "ascii"), None, 1.0
     shares = {
@@ -200,11 +216,8 @@ def decoded(raw: pd.Series, encoding: pd.Series) -> pd.Series:
     """Lines decoded by the encoding of their file; the byte of UTF-16 that a line feed has left on a line goes."""
 
     def one(data: bytes, name: str) -> str:
-        if name == "utf-16-le" and len(data) % 2:
-            data = data[1:]
-        elif name == "utf-16-be" and len(data) % 2:
-            data = data[:-1]
-        return bytes(data).decode(name, errors="replace")
+        data = utf_16_line(bytes(data), name) if name.startswith("utf-16") else bytes(data)
+        return data.decode(name, errors="replace")
 
     return pd.Series([None if d is None else one(d, n) for d, n in zip(raw, encoding)], dtype=object)
 
