@@ -9,6 +9,7 @@ from tidemark.plans import (  # noqa: F401
     imputepack,
     missingpack,
     modelpack,
+    mojibakepack,
     outlierpack,
     profilepack,
     qualitypack,
