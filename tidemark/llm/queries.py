@@ -85,7 +85,9 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=400, with_bytes=False)
+    """What is left of every document, with its digest and the remaining text."""
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=400)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
