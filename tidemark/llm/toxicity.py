@@ -31,6 +31,7 @@ from tidemark.session import pin
 SIZES = (4, 6)
 BUCKET_BITS = 18
 BETWEEN = re.compile(r"[\W_]+")
+BLOCK = 1 << 19  # buckets of rows looked at together while fitting
 PIECE = 1 << 16  # code points handled at a time, to bound memory on very long texts
 
 
@@ -122,8 +123,9 @@ def log_count_ratios(rows: DataFrame, smoothing: float) -> tuple[np.ndarray, int
 
 def unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Labels, the buckets of all texts one after the other, and how many each text has."""
-    lists = [buckets(t).astype(np.int32) for t in batch.column(1).to_pylist()]
-    return batch.column(0).to_numpy(), np.concatenate(lists), np.array([len(x) for x in lists])
+    lists = [buckets(t.as_py()).astype(np.int32) for t in batch.column(1)]
+    flat = np.concatenate([np.zeros(0, dtype=np.int32), *lists])
+    return batch.column(0).to_numpy(), flat, np.array([len(x) for x in lists], dtype=np.int64)
 
 
 def improve(
@@ -131,19 +133,33 @@ def improve(
     steps: int, penalty: float, toxic_weight: float = 1.0,
 ) -> np.ndarray:
     """Lower the penalised log-loss of the given rows from ``start``; the last weight is the intercept."""
-    used, local = np.unique(flat, return_inverse=True)
-    scale, row_of = ratio[used][local], np.repeat(np.arange(len(labels)), lengths)
+    used = np.zeros(len(ratio), dtype=bool)
+    used[flat] = True
+    used = np.flatnonzero(used)
+    number = np.zeros(len(ratio), dtype=np.int32)
+    number[used] = np.arange(len(used), dtype=np.int32)
+    local, own = number[flat], ratio[used]
+    ends = np.cumsum(lengths)
+    blocks = row_blocks(lengths)
 
     weight = np.where(labels == 1, toxic_weight, 1.0)
     weight /= weight.sum()
 
     def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
-        margin = w[-1] + np.bincount(row_of, w[local] * scale, minlength=len(labels))
+        scaled, slope = w[:-1] * own, np.zeros(len(used))
+        margin = np.full(len(labels), w[-1])
+        for low, high in blocks:  # rows are contiguous, so a few of them at a time bound the memory
+            begin = ends[low] - lengths[low]
+            filled = np.flatnonzero(lengths[low:high]) + low
+            if len(filled):
+                margin[filled] += np.add.reduceat(scaled[local[begin : ends[high - 1]]], ends[filled] - lengths[filled] - begin)
         chance = 1 / (1 + np.exp(-np.clip(margin, -500, 500)))
         value = weight @ (np.logaddexp(0, margin) - labels * margin) + penalty / 2 * (w[:-1] @ w[:-1])
         miss = (chance - labels) * weight
-        slope = np.bincount(local, miss[row_of] * scale, minlength=len(used)) + penalty * w[:-1]
-        return value, np.append(slope, miss.sum())
+        for low, high in blocks:
+            part = local[ends[low] - lengths[low] : ends[high - 1]]
+            slope += np.bincount(part, np.repeat(miss[low:high], lengths[low:high]), minlength=len(used))
+        return value, np.append(slope * own + penalty * w[:-1], miss.sum())
 
     out = start.copy()
     best = quasi_newton(loss, np.append(start[used], start[-1]), steps)
@@ -151,6 +167,12 @@ def improve(
     return out
 
 
+def row_blocks(lengths: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of rows of about ``BLOCK`` buckets each."""
+    cut = np.flatnonzero(np.diff(np.cumsum(lengths) // BLOCK)) + 1
+    return [(int(a), int(b)) for a, b in zip([0, *cut], [*cut, len(lengths)]) if a < b]
+
+
 def quasi_newton(loss, x: np.ndarray, steps: int, memory: int = 8) -> np.ndarray:
     """Limited-memory BFGS with step halving."""
     value, slope = loss(x)
@@ -207,6 +229,7 @@ def train(
             parts = [unpacked(b) for b in batches if b.num_rows]
             if parts:
                 own, flat, lengths = (np.concatenate(x) for x in zip(*parts))
+                parts.clear()
                 new = improve(own, flat, lengths, *sent.value, steps=steps, penalty=penalty, toxic_weight=toxic_weight)
                 moved = np.flatnonzero(new != sent.value[1])
                 yield pa.RecordBatch.from_arrays(
