@@ -42,15 +42,18 @@ MAGIC = b"PFOR1\x00\x00\x00"
 BLOCK = 4096
 PERCENTILE = 0.95
 WAITING = 1 << 16  # ids gathered before blocks are cut
-KNOWN_PARTS = 600_000  # parts of texts whose ids a worker remembers; the memory is emptied when it is full
+KNOWN_PARTS = 600_000  # parts of texts in each of the two generations that a worker remembers
+SEEN_MASK = (1 << 22) - 1  # marks for parts met once
+ROWS = 256  # texts made Python strings at a time
 HEAD, BLOCK_HEAD = struct.Struct("<8sII"), struct.Struct("<IIBI")
 
 
 class WholeTextBpe(ByteBpe):
-    """Ids as the library gives them for whole texts, special tokens in the text included; pieces between blanks are remembered.
+    """Ids as the library gives them for whole texts, special tokens in the text included; parts between blanks are remembered.
 
     A single space between two non-blanks always begins a piece, and so does a line feed after a non-blank: the text is cut
     there into parts that recur. Parts at other blanks are joined with their neighbours again and split by the pattern.
+    Parts of letters are one piece, with a mark behind them two. Parts that have not been seen for long are forgotten.
     """
 
     def __init__(self, vocabulary: str, pattern: str):
@@ -58,8 +61,12 @@ class WholeTextBpe(ByteBpe):
         from tokenizers import Tokenizer
 
         added = Tokenizer.from_file(vocabulary).get_added_tokens_decoder()
-        self.special = {t.content: np.array([i], dtype="<u4").tobytes() for i, t in added.items() if t.special}
+        self.special = {t.content: struct.pack("<I", i) for i, t in added.items() if t.special}
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")").split if self.special else None
+        self.space = self.chars[32]
+        self.marks = {c: self.ids_of(c) for c in ".,;:!?"}
+        self.older: dict[str, bytes] = {}
+        self.seen, self.met = bytearray(SEEN_MASK + 1), 0
 
     def encode(self, text: str) -> bytes:
         if self.cut is not None and any(s in text for s in self.special):
@@ -79,10 +86,14 @@ class WholeTextBpe(ByteBpe):
         for i, known in enumerate(found):
             if known is not None or i < done:
                 continue
-            if i and whole(parts[i]):
-                if ends_whole(parts[i - 1]):
-                    found[i] = self.chunk_ids(parts[i])
-                    continue
+            part = parts[i]
+            if i and part.isalpha() and ends_whole(parts[i - 1]):  # the most usual new part: one piece after a space
+                ids = self.older.get(part)
+                found[i] = self.keep(part, self.word(part) if ids is None else ids)
+                continue
+            if i and whole(parts[i]) and ends_whole(parts[i - 1]):
+                found[i] = self.part_ids(parts[i])
+                continue
             low = i
             while low and not (whole(parts[low]) and ends_whole(parts[low - 1])):
                 low -= 1
@@ -90,19 +101,53 @@ class WholeTextBpe(ByteBpe):
             while high < len(parts) and not (whole(parts[high]) and ends_whole(parts[high - 1])):
                 high += 1
             text = "".join((p if not j or p[:1] == "\n" else " " + p) for j, p in enumerate(parts[low:high], low))
-            found[low:high] = [self.ids_of(text), *[b""] * (high - low - 1)]
+            found[low:high] = [b"".join(map(self.piece, self.split(text))), *[b""] * (high - low - 1)]
             done = high
 
-    def chunk_ids(self, part: str) -> bytes:
+    def part_ids(self, part: str) -> bytes:
+        """Ids of a part with the space before it, or with its own line feed."""
+        mark = self.marks.get(part[-1])
+        if mark is not None and part[:-1].isalpha():
+            known = self.chunks.get(part[:-1])
+            return self.part_ids(part[:-1]) + mark if known is None else self.keep(part, known + mark)
+        out = self.older.get(part)
+        if out is None:
+            if part.isalpha():
+                out = self.word(part)
+            else:
+                out = b"".join(map(self.piece, self.split(part if part[0] == "\n" else " " + part)))
+        return self.keep(part, out)
+
+    def keep(self, part: str, ids: bytes) -> bytes:
+        """Remember a part from its second time on, as most are met only once."""
+        place = hash(part) & SEEN_MASK
+        if not self.seen[place]:
+            self.seen[place] = 1
+            self.met += 1
+            if self.met > SEEN_MASK // 2:
+                self.seen, self.met = bytearray(SEEN_MASK + 1), 0
+            return ids
         if len(self.chunks) >= KNOWN_PARTS:
-            self.chunks.clear()
-        pieces = self.split(part if part[0] == "\n" else " " + part)
-        if len(pieces) > 1:
-            out = b"".join(map(self.piece_ids, pieces))
-        else:  # known by its part from now on
-            out = np.array([t.id for t in self.tokens_of(pieces[0])], dtype="<u4").tobytes()
-        self.chunks[part] = out
-        return out
+            self.older, self.chunks = self.chunks, {}
+        self.chunks[part] = ids
+        return ids
+
+    def word(self, part: str) -> bytes:
+        """Ids of a space and letters, which are one piece."""
+        written = self.space + (part if part.isascii() else "".join(map(self.chars.__getitem__, part.encode())))
+        ids = [t.id for t in self.model.tokenize(written)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def piece(self, piece: str) -> bytes:
+        """Ids of one piece; a word after a space is looked up among the parts."""
+        if piece[0] == " " and piece[1:] in self.chunks:
+            return self.chunks[piece[1:]]
+        if piece.isascii() and piece.isprintable():
+            written = piece.replace(" ", self.space)
+        else:
+            written = "".join(map(self.chars.__getitem__, piece.encode()))
+        ids = [t.id for t in self.model.tokenize(written)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def whole(part: str) -> bool:
@@ -235,8 +280,10 @@ def write_tokens(
         def encoded() -> Iterator[tuple[object, bytes]]:
             bpe = loaded(vocabulary, pattern)
             for batch in batches:
-                for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    yield key, bpe.encode(text) + end
+                for at in range(0, batch.num_rows, ROWS):
+                    part = batch.slice(at, ROWS)
+                    for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                        yield key, bpe.encode(text) + end
 
         for record in shard_records(encoded(), kind, TaskContext.get().partitionId()):
             yield pa.RecordBatch.from_arrays([pa.array([record], pa.binary())], names=["record"])
