@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.joins import null_safe_join
 from tidemark.functions.missing import nan_to_null, null_if_nan
 from tidemark.functions.quantiles import column_quantiles
+from tidemark.operators import chained
 from tidemark.operators.outliers import histogram
 from tidemark.operators.profile import constant_columns, per_column
 from tidemark.session import pin, pin_for_reuse
@@ -58,13 +59,40 @@ def fill(df: DataFrame, values: dict[str, float]) -> DataFrame:
 
 
 def mice_impute(
-    df: DataFrame, columns: Sequence[str], rounds: int = 10, tolerance: float = 1e-3, fit_on: Column | None = None
+    df: DataFrame, columns: Sequence[str], rounds: int = 10, tolerance: float = 1e-3, fit_on: Column | None = None, ridge: float | str = 0.0,
+    max_patterns: int = chained.MAX_PATTERNS,
 ) -> DataFrame:
     """Fill gaps by regressing each column with gaps on all the others, round after round.
 
-    Starts from column means. Every round is written to the shared folder, so the plan stays one round long
-    and a lost executor costs at most one round. Stops when the mean absolute change of the filled values
-    falls below ``tolerance`` standard deviations in every column. ``fit_on`` limits the rows models are fitted on.
+    Starts from column means and stops when the change of the filled values falls below ``tolerance`` standard deviations in every column.
+    ``fit_on`` limits the rows models are fitted on. All rounds run on cross-products per pattern of missing columns, gathered in one scan;
+    tables of more than ``max_patterns`` patterns go round by round over their rows (``mice_by_rounds``, without a penalty).
+    """
+    columns = list(columns)
+    df = nan_to_null(df, *columns)
+    known = df if fit_on is None else df.where(fit_on)
+    facts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    gaps = [c for c in columns if facts[c]]
+    if not gaps:
+        return df
+    if df.select(chained.pattern_of(columns).alias("p")).distinct().limit(max_patterns + 1).count() > max_patterns:
+        if ridge:
+            raise ValueError(f"a penalty needs at most {max_patterns} patterns of missing columns")
+        return mice_by_rounds(df, columns, rounds, tolerance, fit_on)
+    row = known.agg(*[F.struct(F.avg(c).alias("m"), F.stddev_samp(c).alias("s")).alias(c) for c in columns]).first()
+    empty = [c for c in columns if row[c]["m"] is None]
+    used = [c for c in columns if c not in empty]  # a column without any value has nothing to learn from and stays empty
+    means, spread = [row[c]["m"] for c in used], [row[c]["s"] for c in used]
+    return chained.chained_fill(df, used, means, spread, [c for c in gaps if c in used], rounds, tolerance, fit_on, ridge)
+
+
+def mice_by_rounds(
+    df: DataFrame, columns: Sequence[str], rounds: int = 10, tolerance: float = 1e-3, fit_on: Column | None = None
+) -> DataFrame:
+    """The chain over the rows themselves: one fit per column and round, for tables of very many patterns of missing columns.
+
+    Every round is written to the shared folder, so the plan stays one round long and a lost executor costs at most one round. The change
+    is measured as the mean absolute one.
     """
     columns = list(columns)
     df = nan_to_null(df, *columns)

@@ -144,3 +144,21 @@ def residual_top20(spark, sf_dir):
 def residual_histogram(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").withColumn("p", 2000 * F.col("l_quantity"))
     return md.residual_histogram(lines, "l_extendedprice", "p").drop("left")
+
+
+@query("mice_evidence")
+def mice_evidence(spark, sf_dir):
+    """Errors of the hidden prices and quantities, filled by least squares and by penalties of largest evidence."""
+    data = derived_nulls(spark, sf_dir).select(
+        *[F.col(c).cast("double").alias(c) for c in [*FEATURES, "price"]], F.col("l_extendedprice").cast("double").alias("was"),
+        F.col("l_quantity").cast("double").alias("had"),
+    )
+    out = None
+    for name, ridge in (("least_squares", 0.0), ("evidence", "evidence")):
+        filled = md.mice_impute(data.withColumn("hidden", F.col("price").isNull()), [*FEATURES, "price"], rounds=5, ridge=ridge)
+        errors = filled.agg(
+            F.lit(name).alias("ridge"), F.avg(F.when(F.col("hidden"), F.abs(F.col("price") - F.col("was")))).alias("price_error"),
+            F.avg(F.abs(F.col("qty") - F.col("had"))).alias("qty_error"), F.count("price").alias("rows"),
+        )
+        out = errors if out is None else out.unionByName(errors)
+    return out
