@@ -9,7 +9,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from check_queries import TABLES, normal
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-SLOW = {"impute_model_grid"}  # has its own test on a small frame
+SLOW = {"impute_model_grid", "boosted_missing"}  # have their own tests on small frames
 
 
 @pytest.fixture(scope="module")

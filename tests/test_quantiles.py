@@ -83,3 +83,54 @@ def test_hold_out_counts_only_groups_without_visible_values(spark):
     row = mask_and_score(df, "x", ["g"], F.col("k") % 5 == 0).first()
     # hidden: a=10 guessed 12, b=20 has no visible group and takes the median of 12 and 30
     assert (row["mae"], row["fallback_rate"]) == (pytest.approx(1.5), pytest.approx(0.5))
+
+
+@pytest.mark.parametrize("accuracy", [10_000, 20, 3])
+def test_selection_equals_numpy(spark, accuracy, monkeypatch):
+    from tidemark.functions import quantiles as qu
+
+    rng = np.random.default_rng(accuracy)
+    columns = {
+        "flat": rng.normal(size=700), "ties": rng.integers(0, 4, 700).astype(float), "one": np.full(700, 7.0),
+        "odd": np.where(rng.random(700) < 0.3, np.nan, rng.exponential(size=700)), "big": np.where(rng.random(700) < 0.1, np.inf, rng.normal(size=700)),
+    }
+    rows = list(zip(*[c.tolist() for c in columns.values()], [None] * 700))
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in [*columns, "none"])).repartition(6)
+    probs = [0.0, 0.001, 0.25, 0.5, 0.51, 0.95, 1.0]
+    names = [f"p{i}" for i in range(len(probs))]
+    got = {r["column"]: [r[n] for n in names] for r in qu.selected_quantiles(df, [*columns, "none"], probs, names, accuracy).collect()}
+    assert set(got) == set(columns)
+    for name, values in columns.items():
+        known = np.sort(values[~np.isnan(values)])
+        for p, q in zip(probs, got[name]):
+            position = p * (len(known) - 1)
+            low = int(np.floor(position))
+            share = position - low
+            want = known[low] if share == 0 else (1 - share) * known[low] + share * known[low + 1]
+            assert q == pytest.approx(want, rel=1e-12), (name, p)
+
+
+def test_a_bracket_that_misses_its_ranks_is_widened(spark, monkeypatch):
+    from tidemark.functions import quantiles as qu
+
+    right = qu.brackets_of
+
+    def wrong(column, facts, probs, margin):
+        out = right(column, facts, probs, margin)
+        for b in out:
+            b.low = b.high = 3.0
+        return out
+
+    monkeypatch.setattr(qu, "brackets_of", wrong)
+    df = spark.range(101).select(F.col("id").cast("double").alias("x"))
+    assert qu.selected_quantiles(df, ["x"], [0.5], ["m"]).first()["m"] == 50.0
+
+
+def test_selection_of_nothing(spark):
+    from tidemark.functions import quantiles as qu
+
+    df = spark.createDataFrame([(None, float("nan"))], "x double, y double")
+    out = qu.selected_quantiles(df, ["x", "y"], [0.5], ["m"])
+    assert out.columns == ["column", "m"] and out.count() == 0
+    few = spark.createDataFrame([(1.0,), (4.0,)], "x double")
+    assert [tuple(r) for r in qu.selected_quantiles(few, ["x"], [0.25, 0.75], ["a", "b"]).collect()] == [("x", 1.75, 3.25)]
