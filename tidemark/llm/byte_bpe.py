@@ -113,7 +113,10 @@ class ByteBpe:
         return out
 
     def decode(self, ids: Iterable[int]) -> bytes:
+        ids = list(ids)
         try:
+            if ids and min(ids) < 0:  # Python would count these from the end
+                raise IndexError(min(ids))
             return b"".join([self.bytes_by_id[i] for i in ids])
         except (IndexError, TypeError) as error:
             raise ValueError("an id lies outside the vocabulary") from error
