@@ -172,3 +172,16 @@ def test_summarize_small_frame(spark):
     assert (x["dtype"], x["min"], x["max"], x["approx_unique"], x["q50"], x["count"], x["null_percent"]) == (
         "double", "1.0", "4.0", 3, 2.0, 4, 25.0)
     assert (s["min"], s["max"], s["approx_unique"], s["avg"], s["q50"], s["null_percent"]) == ("a", "b", 2, None, None, 25.0)
+
+
+def test_little_with_columns_that_depend_on_each_other(spark):
+    rows = [(float(i % 7), 2.0 * (i % 7), None if i % 3 == 0 else float(i % 5)) for i in range(60)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    both, one = (md_row(df, names) for names in (["a", "b", "c"], ["a", "c"]))
+    assert both["statistic"] == pytest.approx(one["statistic"], rel=1e-6)
+
+
+def md_row(df, names):
+    from tidemark.operators.missing import little_mcar
+
+    return little_mcar(df, names).first()

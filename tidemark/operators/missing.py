@@ -252,7 +252,9 @@ def little_mcar(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                 seen = [i for i, ch in enumerate(r.pattern) if ch == "1"]
                 delta = np.array([r.means[i] - r.mean[i] for i in seen])
                 cov = np.array(r.cov, dtype=float).reshape(p, p)[np.ix_(seen, seen)]
-                rows.append((float(r.n) * float(delta @ np.linalg.solve(cov, delta)), len(seen)))
+                # columns that depend on each other, or do not vary, add nothing: the least-norm solution leaves them out
+                inverse = np.linalg.pinv(np.nan_to_num(cov), rcond=1e-12, hermitian=True)
+                rows.append((float(r.n) * float(delta @ inverse @ delta), len(seen)))
             yield pd.DataFrame(rows, columns=["d2", "observed"])
 
     parts = groups.withColumn("o", overall.scalar()).select("pattern", "n", "means", "o.mean", "o.cov")

@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemark.session import pin
+
 # Quotes are doubled and blanks at the ends of a cell kept, so that every text survives
 CSV_TEXT = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 SUFFIX = {"parquet": "parquet", "csv": "csv", "json": "json"}
@@ -64,7 +66,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def written_rows(out: DataFrame, path: str, fmt: str) -> int:
     """Rows of a finished output: from Parquet footers, or lines of JSON. A CSV reader drops blank lines, so
-    there the table itself is counted once more.
+    there the table itself is counted, which ``write`` has pinned.
 
     An ``Observation`` would count while writing, but a Spark 4.1 session that has used one cannot run a
     freshly fitted logistic model any more.
@@ -87,9 +89,11 @@ def write(
     facts = OutputFacts(path)
     if skip_existing and exists(spark, path):
         return facts
+    out = df.dropDuplicates() if options.deduplicate else df
+    if fmt == "csv":
+        out = df = pin(out)  # computed once for the check, the file and the count
     if df.isEmpty():
         return facts
-    out = df.dropDuplicates() if options.deduplicate else df
     writer = out.write.mode("overwrite")
     if options.rows_per_file:
         writer = writer.option("maxRecordsPerFile", options.rows_per_file)
