@@ -107,17 +107,17 @@ def log_count_ratios(rows: DataFrame, smoothing: float) -> tuple[np.ndarray, int
     # one row per bucket at most, whatever the size of the corpus
     counts = (
         rows.mapInArrow(counted, "bucket bigint, other bigint, toxic bigint")
-        .groupBy("bucket").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic")).toPandas()
+        .groupBy("bucket").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic")).toArrow()
     )
-    totals = counts[counts.bucket == -1]
-    n_other, n_toxic = (int(totals[c].sum()) for c in ("other", "toxic"))
+    bucket, n_of_other, n_of_toxic = (counts.column(c).to_numpy() for c in ("bucket", "other", "toxic"))
+    total, used = bucket < 0, bucket >= 0
+    n_other, n_toxic = int(n_of_other[total].sum()), int(n_of_toxic[total].sum())
     if not n_toxic or not n_other:
         return np.zeros(size), n_toxic, n_other
     share = n_toxic / (n_toxic + n_other)
     other, toxic = np.full(size, smoothing * (1 - share)), np.full(size, smoothing * share)
-    counts = counts[counts.bucket >= 0]
-    other[counts.bucket] += counts.other
-    toxic[counts.bucket] += counts.toxic
+    other[bucket[used]] += n_of_other[used]
+    toxic[bucket[used]] += n_of_toxic[used]
     return np.log(toxic / n_toxic) - np.log(other / n_other), n_toxic, n_other
 
 
@@ -239,11 +239,12 @@ def train(
         # the weights have a fixed number, whatever the size of the corpus
         change = (
             rows.mapInArrow(fitted, "weight bigint, change double").groupBy("weight")
-            .agg(F.sum("change").alias("change"), F.count(F.lit(1)).alias("votes")).toPandas()
+            .agg(F.sum("change").alias("change"), F.count(F.lit(1)).alias("votes")).toArrow()
         )
+        at, moved, votes = (change.column(c).to_numpy() for c in ("weight", "change", "votes"))
         weights = weights.copy()
-        weights[change.weight] += change.change / change.votes
-        sent.unpersist()
+        weights[at] += moved / votes
+        sent.destroy()
     return Model(weights[:-1] * ratio, float(weights[-1]))
 
 
