@@ -25,7 +25,8 @@ from __future__ import annotations
 import re
 import struct
 import zlib
-from collections.abc import Callable, Iterable, Iterator
+from codecs import charmap_decode
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -37,6 +38,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from tidemark.llm.bitpack import pack, packed_size, unpack
 from tidemark.llm.byte_bpe import ByteBpe
 from tidemark.llm.common import by_batch, quoted, text_of
+from tidemark.session import pin
 
 MAGIC = b"PFOR1\x00\x00\x00"
 BLOCK = 4096
@@ -63,7 +65,8 @@ class WholeTextBpe(ByteBpe):
         added = Tokenizer.from_file(vocabulary).get_added_tokens_decoder()
         self.special = {t.content: struct.pack("<I", i) for i, t in added.items() if t.special}
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")").split if self.special else None
-        self.space = self.chars[32]
+        self.table = "".join(self.chars.values())
+        self.space = self.table[32]
         self.marks = {c: self.ids_of(c) for c in ".,;:!?"}
         self.older: dict[str, bytes] = {}
         self.seen, self.met = bytearray(SEEN_MASK + 1), 0
@@ -134,20 +137,20 @@ class WholeTextBpe(ByteBpe):
 
     def word(self, part: str) -> bytes:
         """Ids of a space and letters, which are one piece."""
-        written = self.space + (part if part.isascii() else "".join(map(self.chars.__getitem__, part.encode())))
+        written = self.space + (part if part.isascii() else charmap_decode(part.encode(), "strict", self.table)[0])
         ids = [t.id for t in self.model.tokenize(written)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def piece(self, piece: str) -> bytes:
         """Ids of one piece; a word after a space is looked up among the parts."""
-        if piece[0] == " " and piece[1:] in self.chunks:
-            return self.chunks[piece[1:]]
-        if piece.isascii() and piece.isprintable():
-            written = piece.replace(" ", self.space)
-        else:
-            written = "".join(map(self.chars.__getitem__, piece.encode()))
-        ids = [t.id for t in self.model.tokenize(written)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        known = self.chunks.get(piece[1:]) if piece[0] == " " else self.pieces.get(piece)
+        if known is not None:
+            return known
+        ids = [t.id for t in self.model.tokenize(charmap_decode(piece.encode(), "strict", self.table)[0])]
+        out = struct.pack(f"<{len(ids)}I", *ids)
+        if len(piece) < 4 and piece[0] != " " and len(self.pieces) < KNOWN_PARTS:  # marks and blanks, of which there are few
+            self.pieces[piece] = out
+        return out
 
 
 def whole(part: str) -> bool:
@@ -269,12 +272,12 @@ class Shard:
             yield i, end - n, held[end - n - held_from : end - held_from]
 
 
-def write_tokens(
+def write_shards(
     docs: DataFrame, path: str, vocabulary: str, pattern: str, end_id: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> None:
-    """Write the ids of every whole text below ``path``: ``shards/`` and ``index/``."""
+    """Write the ids of every whole text to files below ``path``/shards."""
     rows = docs.select(quoted(id_col).alias("id"), text_of(text_col).alias("text")).withColumn("tie", F.xxhash64("text"))
-    kind, end = to_arrow_type(rows.schema["id"].dataType), np.array([end_id], dtype="<u4").tobytes()
+    kind, end = to_arrow_type(rows.schema["id"].dataType), struct.pack("<I", end_id)
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def encoded() -> Iterator[tuple[object, bytes]]:
@@ -292,52 +295,53 @@ def write_tokens(
     records = ordered.mapInArrow(shards, "record binary").select(F.col("record").cast("string").alias("record"))
     records.write.option("compression", "none").option("lineSep", "\n").text(f"{path}/shards")
 
-    def summary(shard: Shard, path: str) -> list:
-        return [shard.number, path, shard.documents.num_rows, int(shard.documents.column("n_tokens").to_numpy().sum())]
 
-    found = per_shard(docs.sparkSession, path, summary, "shard bigint, path string, n_docs bigint, n_tokens bigint")
+def write_index(per_shard: DataFrame, path: str) -> None:
+    """Write (shard, path, n_docs, n_tokens, start) below ``path``/index from rows without the start."""
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard: as many as there were tasks
-    found.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0))).coalesce(1).write.parquet(f"{path}/index")
+    index = per_shard.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
+    index.coalesce(1).write.parquet(f"{path}/index")
 
 
-def shard_files(spark: SparkSession, path: str) -> DataFrame:
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/shards")
-    return files.where("length > 0").select("path", "content")
+def write_tokens(
+    docs: DataFrame, path: str, vocabulary: str, pattern: str, end_id: int, id_col: str = "doc_id", text_col: str = "text"
+) -> None:
+    """Write the ids of every whole text below ``path``: ``shards/`` and ``index/``."""
+    write_shards(docs, path, vocabulary, pattern, end_id, id_col, text_col)
 
+    def footers(batch: pa.RecordBatch) -> pa.RecordBatch:
+        held = [Shard(c.as_buffer()) for c in batch.column(1)]
+        totals = [int(s.documents.column("n_tokens").to_numpy().sum()) for s in held]
+        columns = [pa.array(x, pa.int64()) for x in ([s.number for s in held], [s.documents.num_rows for s in held], totals)]
+        return pa.RecordBatch.from_arrays([columns[0], batch.column(0), *columns[1:]], names=["shard", "path", "n_docs", "n_tokens"])
 
-def per_shard(spark: SparkSession, path: str, fn: Callable[[Shard, str], list], schema: str) -> DataFrame:
-    """One row per shard file."""
-    types = [to_arrow_type(f.dataType) for f in T._parse_datatype_string(schema).fields]
-    names = [f.name for f in T._parse_datatype_string(schema).fields]
+    found = shard_files(docs.sparkSession, path).mapInArrow(by_batch(footers), "shard bigint, path string, n_docs bigint, n_tokens bigint")
+    write_index(found, path)
 
-    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = [fn(Shard(c.as_buffer()), p) for p, c in zip(batch.column(0).to_pylist(), batch.column(1))]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
-    return shard_files(spark, path).mapInArrow(by_batch(rows), schema)
+def shard_files(spark: SparkSession, path: str) -> DataFrame:
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/shards")
+    return files.where("length > 0").select("path", "content")
 
 
-def read_documents(
-    spark: SparkSession, path: str, id_type: T.DataType, id_col: str = "doc_id", with_ids: bool = True
-) -> DataFrame:
-    """(id, start, n_tokens, ids_crc32 and on request token_ids) of every document, from the files alone."""
-    index = spark.read.parquet(f"{path}/index").select("shard", F.col("start").alias("shard_start"))
+def shard_documents(spark: SparkSession, path: str, id_type: T.DataType, with_ids: bool) -> DataFrame:
+    """(path, shard, id, place, n_tokens, ids_crc32, token_ids) of every document, ``place`` counted within its shard."""
     kind = to_arrow_type(id_type)
+    names = ["path", "shard", "id", "place", "n_tokens", "ids_crc32", "token_ids"]
+    numbers = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column(1):
+            for file, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 shard = Shard(content.as_buffer())
                 keys = shard.documents.column("id").cast(kind)
                 rows: list[tuple] = []
 
                 def batch_of(first: int) -> pa.RecordBatch:
                     n = len(rows)
-                    starts, counts, sums, lists = zip(*rows)
-                    return pa.RecordBatch.from_arrays([
-                        pa.array([shard.number] * n, pa.int64()), keys.slice(first, n).combine_chunks(), pa.array(starts, pa.int64()),
-                        pa.array(counts, pa.int64()), pa.array(sums, pa.int64()), pa.array(lists, pa.list_(pa.int32())),
-                    ], names=["shard", "id", "place", "n_tokens", "ids_crc32", "token_ids"])
+                    columns = [pa.array(c, t) for c, t in zip(zip(*rows), numbers)]
+                    own = [pa.array([file] * n, pa.string()), pa.array([shard.number] * n, pa.int64()), keys.slice(first, n).combine_chunks()]
+                    return pa.RecordBatch.from_arrays([*own, *columns], names=names)
 
                 first, waiting = 0, 0
                 for i, place, ids in shard.by_document():
@@ -350,11 +354,22 @@ def read_documents(
                 if rows:
                     yield batch_of(first)
 
-    schema = f"shard bigint, id {id_type.simpleString()}, place bigint, n_tokens bigint, ids_crc32 bigint, token_ids array<int>"
-    found = shard_files(spark, path).mapInArrow(documents, schema)
-    out = found.join(F.broadcast(index), "shard").select(  # one row per shard
+    schema = f"path string, shard bigint, id {id_type.simpleString()}, place bigint, n_tokens bigint, ids_crc32 bigint, token_ids array<int>"
+    return shard_files(spark, path).mapInArrow(documents, schema)
+
+
+def with_starts(found: DataFrame, path: str, id_col: str) -> DataFrame:
+    index = found.sparkSession.read.parquet(f"{path}/index").select("shard", F.col("start").alias("shard_start"))
+    return found.join(F.broadcast(index), "shard").select(  # one row per shard
         F.col("id").alias(id_col), (F.col("shard_start") + F.col("place")).alias("start"), "n_tokens", "ids_crc32", "token_ids"
     )
+
+
+def read_documents(
+    spark: SparkSession, path: str, id_type: T.DataType, id_col: str = "doc_id", with_ids: bool = True
+) -> DataFrame:
+    """(id, start, n_tokens, ids_crc32 and on request token_ids) of every document, from the files alone."""
+    out = with_starts(shard_documents(spark, path, id_type, with_ids), path, id_col)
     return out if with_ids else out.drop("token_ids")
 
 
@@ -382,5 +397,8 @@ def token_file_digests(
     docs: DataFrame, path: str, vocabulary: str, pattern: str, end_id: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Write the files and return (id, start, n_tokens, ids_crc32) of every document as read back from them."""
-    write_tokens(docs, path, vocabulary, pattern, end_id, id_col, text_col)
-    return read_documents(docs.sparkSession, path, docs.schema[id_col].dataType, id_col, with_ids=False)
+    write_shards(docs, path, vocabulary, pattern, end_id, id_col, text_col)
+    found = pin(shard_documents(docs.sparkSession, path, docs.schema[id_col].dataType, with_ids=False))  # read once, without the ids
+    counts = found.groupBy("shard", "path").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+    write_index(counts, path)
+    return with_starts(found, path, id_col).drop("token_ids")
