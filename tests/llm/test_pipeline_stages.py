@@ -47,6 +47,17 @@ def test_near_duplicates_by_jaccard_against_brute_force(spark):
     assert corpus_pipeline.drop_near_duplicates(spark, documents(spark, texts).where("false"), "").count() == 0
 
 
+@pytest.mark.parametrize("limit", [0, 200_000])
+def test_links_are_joined_alike_in_one_task_and_in_rounds(spark, monkeypatch, limit):
+    monkeypatch.setattr(shingle_sets, "ONE_TASK_LINKS", limit)
+    rng = random.Random(3)
+    pairs = [(rng.randrange(-60, 60), rng.randrange(-60, 60)) for _ in range(70)]
+    pairs = [(a, b) for a, b in pairs if a != b]
+    links = spark.createDataFrame(pairs, "x_root bigint, y_root bigint").repartition(4)
+    got = {r["node"]: r["root"] for r in shingle_sets.components(links).collect()}
+    assert got == roots({n for p in pairs for n in p}, pairs)
+
+
 def test_band_keys_meet_at_the_threshold():
     rng, met, n = random.Random(5), 0, 1_000
     for _ in range(n):

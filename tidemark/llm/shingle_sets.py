@@ -21,10 +21,11 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
 from tidemark.llm import simhash
-from tidemark.llm.common import connected_components, quoted, row_key, text_of
+from tidemark.llm.common import connected_components, merge_labels, quoted, row_key, text_of
 from tidemark.session import pin
 
 BANDS, ROWS = 30, 6
+ONE_TASK_LINKS = 200_000  # links between groups joined in one task
 CENTRES = 3  # centres that a set is compared with in the first pass
 MINIMA_ROWS = 1 << 11
 KEPT_SETS = 256  # sets remembered by a task that confirms links
@@ -100,9 +101,30 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: floa
     return both.mapInArrow(alike, "x_root bigint, y_root bigint")
 
 
+def components(links: DataFrame) -> DataFrame:
+    """(node, root) of the pinned links (x_root, y_root).
+
+    Up to ``ONE_TASK_LINKS`` of them, 3 MB, are joined by one task, which spares the driver dozens of small jobs; more take the rounds of
+    ``connected_components``. Both give the smallest node reachable.
+    """
+    if links.count() > ONE_TASK_LINKS:
+        return connected_components(links, "x_root", "y_root")
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [np.stack([c.to_numpy() for c in b.columns]) for b in batches if b.num_rows]
+        if parts:
+            ends = np.concatenate(parts, axis=1)
+            nodes, number = np.unique(ends, return_inverse=True)
+            u, v = number.reshape(ends.shape)
+            roots = nodes[merge_labels(len(nodes), u, v)]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(roots)], names=["node", "root"])
+
+    return links.coalesce(1).mapInArrow(joined, "node bigint, root bigint")
+
+
 def merged(groups: DataFrame, links: DataFrame) -> DataFrame:
     """``groups`` (key, root and others) with the roots joined that ``links`` joins."""
-    joined = connected_components(links, "x_root", "y_root").select("node", F.col("root").alias("new_root"))
+    joined = components(links).select("node", F.col("root").alias("new_root"))
     others = [c for c in groups.columns if c != "root"]
     return pin(
         groups.join(joined, F.col("root") == F.col("node"), "left").select(*others, F.coalesce("new_root", "root").alias("root"))
