@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from tidemark.operators import alignment as al
+from tidemark.session import pin
 
 
 def lcs_length(a, b):
@@ -98,6 +99,37 @@ def test_small_and_empty_tables(spark, a, b):
     assert checked(a, b, rows) == lcs_length(a, b)
 
 
+@pytest.fixture
+def hash_joins(spark, many_partitions):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+def largest_share(df):
+    sizes = [sum(1 for _ in part) for part in df.rdd.glom().collect()]
+    return max(sizes) / sum(sizes)
+
+
+def test_one_gap_of_all_rows_is_dealt_over_the_tasks(spark, hash_joins, monkeypatch):
+    monkeypatch.setattr(al, "BLOCK", 16, raising=False)
+    side = pin(spark.range(1, 2001).selectExpr("0L as gap", "id as pos", "xxhash64(id) as d1", "xxhash64(7, id) as d2"))
+    spans = "0L as gap, 2000L as nl, 1L as l_first, 2000L as l_last, 2000L as nr, 1L as r_first, 2000L as r_last"
+    pairs = al.candidates(side, side, pin(spark.range(1).selectExpr(*spans.split(", "))))
+    assert sorted(map(tuple, pairs.collect())) == [(i, i) for i in range(1, 2001)]
+    assert largest_share(pairs) < 0.5
+
+
+def test_one_run_of_nearly_all_rows_is_dealt_over_the_tasks(spark, hash_joins, monkeypatch):
+    monkeypatch.setattr(al, "BLOCK", 16, raising=False)
+    pairs = spark.range(1, 2001).selectExpr("id as l", "case when id = 2000 then 0 else id end as r")
+    kept = al.chain(pairs, 2)
+    assert sorted(map(tuple, kept.collect())) == [(i, i) for i in range(1, 2000)]
+    assert largest_share(kept) < 0.5
+
+
 def test_cells_of_changed_rows(spark):
     left = spark.createDataFrame([(1, "a", 1), (2, "b", None), (3, "c", 3)], "at int, v string, w int")
     right = spark.createDataFrame([(10, "a", 1), (20, "b", 5), (25, "new", 0), (30, "c", 3)], "at int, v string, w int")

@@ -26,6 +26,7 @@ from tidemark.session import pin
 
 MAX_CELLS = 1 << 20  # rows on one side of a gap times rows on the other, up to which the gap is solved exactly
 MAX_RUNS = 1 << 18
+BLOCK = 1 << 12  # consecutive rows that share a join key, so that a gap or a run of any length is dealt out over all tasks
 DIGEST = ["d1", "d2"]
 
 
@@ -74,6 +75,21 @@ def lcs_pairs(a: list, b: list) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def block_of(position: Column) -> Column:
+    return F.floor(position / F.lit(BLOCK)).cast("bigint")
+
+
+def by_block(spans: DataFrame, key: str, first: str, last: str) -> DataFrame:
+    """(key, block) of all blocks of rows that the spans of positions from ``first`` to ``last`` touch."""
+    return spans.select(key, F.explode(F.sequence(block_of(F.col(first)), block_of(F.col(last)))).alias("block"))
+
+
+def rows_in(side: DataFrame, gaps: DataFrame, name: str) -> DataFrame:
+    """The side's rows in the given gaps. A gap is an unbroken span of positions, so its rows are met block by block."""
+    wanted = by_block(gaps, "gap", f"{name}_first", f"{name}_last")
+    return side.withColumn("block", block_of(F.col("pos"))).join(wanted, ["gap", "block"]).drop("block")
+
+
 def exact_matches(left: DataFrame, right: DataFrame, gaps: DataFrame) -> DataFrame:
     """(l, r) of the longest common subsequence of each of the given gaps."""
 
@@ -86,25 +102,25 @@ def exact_matches(left: DataFrame, right: DataFrame, gaps: DataFrame) -> DataFra
             "l": sides[0].pos.to_numpy()[[i for i, _ in found]], "r": sides[1].pos.to_numpy()[[j for _, j in found]],
         })
 
-    both = left.withColumn("side", F.lit(0)).unionByName(right.withColumn("side", F.lit(1))).join(gaps.select("gap"), "gap")
+    both = rows_in(left, gaps, "l").withColumn("side", F.lit(0)).unionByName(rows_in(right, gaps, "r").withColumn("side", F.lit(1)))
     return both.groupBy("gap").applyInPandas(solve, "l bigint, r bigint")
 
 
 def candidates(left: DataFrame, right: DataFrame, gaps: DataFrame) -> DataFrame:
     """(l, r) of rows unique on both sides of their gap; in gaps without any, k-th with k-th of the same content."""
     kinds = ["gap", *DIGEST]
-    left, right = (side.join(gaps.select("gap"), "gap") for side in (left, right))
+    own_left, own_right = rows_in(left, gaps, "l"), rows_in(right, gaps, "r")
 
     def once(side: DataFrame, name: str) -> DataFrame:
         return side.groupBy(*kinds).agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias(name)).where("n = 1").drop("n")
 
-    unique = pin(once(left, "l").join(once(right, "r"), kinds).select("gap", "l", "r"))
-    rest = pin(gaps.select("gap").join(unique.select("gap").distinct(), "gap", "left_anti"))
+    unique = pin(once(own_left, "l").join(once(own_right, "r"), kinds).select("gap", "l", "r"))
+    rest = pin(gaps.join(unique.select("gap").distinct(), "gap", "left_anti"))
     if rest.isEmpty():
         return unique.select("l", "r")
 
     def turn(side: DataFrame, name: str) -> DataFrame:
-        return numbered(side.join(rest, "gap"), ["pos"], "k", kinds).withColumnRenamed("pos", name)
+        return numbered(rows_in(side, rest, name), ["pos"], "k", kinds).withColumnRenamed("pos", name)
 
     repeated = turn(left, "l").join(turn(right, "r"), [*kinds, "k"]).select("gap", "l", "r")
     return unique.unionByName(repeated).select("l", "r")
@@ -137,11 +153,11 @@ def heaviest_chain(l: np.ndarray, r: np.ndarray, weight: np.ndarray) -> np.ndarr
 
 
 def as_runs(pairs: DataFrame) -> DataFrame:
-    """Candidates (l, r) with the run they belong to."""
+    """Candidates (l, r) with their rank by ``l`` and the run they belong to."""
     ranked = pin(numbered(numbered(pairs, ["r"], "rank_r"), ["l"], "rank_l"))
     previous = ranked.select((F.col("rank_l") + 1).alias("rank_l"), (F.col("rank_r") + 1).alias("rank_r"), F.lit(0).alias("first"))
     marked = ranked.join(previous, ["rank_l", "rank_r"], "left")
-    return pin(running_total(marked, ["rank_l"], F.coalesce("first", F.lit(1)), "run").select("l", "r", "run"))
+    return pin(running_total(marked, ["rank_l"], F.coalesce("first", F.lit(1)), "run").select("l", "r", "rank_l", "run"))
 
 
 def chain(pairs: DataFrame, max_runs: int) -> DataFrame:
@@ -155,7 +171,7 @@ def chain(pairs: DataFrame, max_runs: int) -> DataFrame:
 
         return pairs.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(best_pairs, "l bigint, r bigint")
     members = as_runs(pairs)
-    runs = pin(members.groupBy("run").agg(F.min("l").alias("l"), F.min("r").alias("r"), F.count(F.lit(1)).alias("w")))
+    runs = pin(members.groupBy("run").agg(F.min("l").alias("l"), F.min("r").alias("r"), F.count(F.lit(1)).alias("w"), F.min("rank_l").alias("first")))
     count = runs.count()
     if count <= 1:
         return members.select("l", "r")
@@ -165,11 +181,13 @@ def chain(pairs: DataFrame, max_runs: int) -> DataFrame:
         return rows.iloc[heaviest_chain(rows.l.to_numpy(), rows.r.to_numpy(), rows.w.to_numpy())]
 
     # runs are numbered in the order of l without gaps, so a block holds at most max_runs of them
-    blocked = runs.withColumn("block", F.expr(f"cast((run - 1) div {max_runs} as bigint)"))
+    blocked = runs.drop("first").withColumn("block", F.expr(f"cast((run - 1) div {max_runs} as bigint)"))
     kept = pin(blocked.groupBy("block").applyInPandas(best, "run bigint, l bigint, r bigint, w bigint, block bigint"))
     while blocks > 1:
         kept, blocks = pin(joined_chains(kept)), -(-blocks // 2)
-    return members.join(kept.select("run"), "run").select("l", "r")
+    spans = kept.select("run").join(runs, "run").withColumn("last", F.col("first") + F.col("w") - 1)
+    chosen = by_block(spans, "run", "first", "last")
+    return members.withColumn("block", block_of(F.col("rank_l"))).join(chosen, ["run", "block"]).select("l", "r")
 
 
 def joined_chains(chains: DataFrame) -> DataFrame:
@@ -180,7 +198,8 @@ def joined_chains(chains: DataFrame) -> DataFrame:
     summed = spread_running_total(spread_sort(tagged, ["pair"], ["r"]), ["r"], change, "gain", ["pair"])
     cut = pin(summed.groupBy("pair").agg(F.max(F.struct("gain", (-F.col("r")).alias("low"))).alias("best")))
     limit = F.when(F.col("best.gain") > 0, -F.col("best.low")).otherwise(F.lit(None))
-    placed_at = tagged.join(cut.select("pair", limit.alias("limit")), "pair")
+    # one row per two blocks of ``max_runs`` runs
+    placed_at = tagged.join(F.broadcast(cut.select("pair", limit.alias("limit"))), "pair")
     keep = F.when(F.col("late") == 1, F.col("limit").isNull() | (F.col("r") > F.col("limit"))).otherwise(F.col("r") <= F.col("limit"))
     return placed_at.where(F.coalesce(keep, F.lit(False))).select("run", "l", "r", "w", F.col("pair").alias("block"))
 
@@ -193,7 +212,10 @@ def matches(left: DataFrame, right: DataFrame, max_cells: int, max_runs: int) ->
         open_left, open_right = open_rows(left, matched, "l"), open_rows(right, matched, "r")
         kinds = ["gap", *DIGEST]
         shared = open_left.select(*kinds).distinct().join(open_right.select(*kinds).distinct(), kinds).select("gap").distinct()
-        sizes = [side.groupBy("gap").agg(F.count(F.lit(1)).alias(n)) for side, n in ((open_left, "nl"), (open_right, "nr"))]
+        sizes = [
+            side.groupBy("gap").agg(F.count(F.lit(1)).alias(f"n{n}"), F.min("pos").alias(f"{n}_first"), F.max("pos").alias(f"{n}_last"))
+            for side, n in ((open_left, "l"), (open_right, "r"))
+        ]
         gaps = pin(shared.join(sizes[0], "gap").join(sizes[1], "gap"))
         facts = gaps.agg(F.count(F.lit(1)), F.count_if(F.col("nl") * F.col("nr") > max_cells)).first()
         if not facts[0]:
