@@ -27,6 +27,8 @@ TEMPLATE_ENDING = r"(?i)\s+(new|copy|v\d+|final|revised|updated|\d+)$"
 TEMPLATE_PREFIX = r"(?i)^Data Template\s+"
 TEMPLATE_NAME = r"(?i)Data Template\s+[^_]+_(.+?)_C\d+R\d+_"
 
+TASK_ROWS = 500_000
+
 
 @dataclass(frozen=True)
 class GroupConfig:
@@ -91,11 +93,17 @@ def natural_key(name: Column) -> Column:
     return F.array_join(padded, "")
 
 
+def dealt(sheets: DataFrame) -> DataFrame:
+    """The rows dealt out by workbook over so many partitions that each holds about ``TASK_ROWS``, however few tasks read them."""
+    return sheets.repartition(max(1, -(-sheets.count() // TASK_ROWS)), "group", "path")
+
+
 def common_sheets(sheets: DataFrame, ignored: DataFrame | None = None) -> DataFrame:
     """Sheets that all workbooks of a group have, without the ignored ones, in natural order.
 
     ``sheets`` has (group, path, sheet); ``ignored`` has (group, sheet).
     """
+    sheets = dealt(sheets)
     workbooks = sheets.groupBy("group").agg(F.count_distinct("path").alias("workbooks"))
     shared = (
         sheets.groupBy("group", "sheet")
@@ -111,5 +119,6 @@ def common_sheets(sheets: DataFrame, ignored: DataFrame | None = None) -> DataFr
 
 def first_file_sheets(sheets: DataFrame) -> DataFrame:
     """Sheets of the first workbook (by path) of each group."""
+    sheets = dealt(sheets)  # the smallest text is found by sorting, so a task should hold a bounded number of rows
     first = sheets.groupBy("group").agg(F.min("path").alias("path"))
     return sheets.join(first, ["group", "path"], "left_semi").select("group", "sheet_no", "sheet")
