@@ -1,8 +1,9 @@
 """What one task or worker holds stays bounded as the input grows."""
 
+import numpy as np
 import pytest
 
-from tidemark.operators import grouping as gr
+from tidemark.operators import charset as cs, grouping as gr
 
 
 @pytest.mark.parametrize("of", ["common", "first"])
@@ -16,3 +17,20 @@ def test_sheets_of_one_input_split_are_dealt_out(spark, monkeypatch, of):
     found = gr.common_sheets(sheets) if of == "common" else gr.first_file_sheets(sheets)
     assert sorted(r["sheet"] for r in found.collect()) == ["Sheet 0", "Sheet 1"]
     assert len(seen) == 1 and max(sum(1 for _ in part) for part in seen[0].rdd.glom().collect()) < 250
+
+
+def test_a_batch_of_long_lines_is_counted_in_blocks(monkeypatch):
+    """The counts are those of the lines joined by line feeds, wherever blocks and calls end."""
+    rng = np.random.default_rng(2)
+    lines = [bytes(rng.integers(1, 256, size=n, dtype=np.uint8)) for n in (1, 50, 7, 8, 200)]
+    data = np.frombuffer(b"\n".join(lines), dtype=np.uint8).astype(np.int64)
+    both = data[:-1] << 8 | data[1:]
+    want = np.bincount(data, minlength=256), np.bincount(both[(data[:-1] | data[1:]) >= 128], minlength=65536)
+    for block in (3, 8, 1 << 20):
+        monkeypatch.setattr(cs, "BLOCK", block, raising=False)
+        for cut in (1, 3, 5):
+            counts, pairs = np.zeros(256, dtype=np.int64), np.zeros(65536, dtype=np.int64)
+            last = cs.add_bytes(counts, pairs, b"", lines[:cut])
+            if lines[cut:]:
+                cs.add_bytes(counts, pairs, last, lines[cut:])
+            assert (counts == want[0]).all() and (pairs == want[1]).all()

@@ -48,6 +48,7 @@ UTF_8 = rb"(?:[\x00-\x7F]|[\xC2-\xDF][\x80-\xBF]|\xE0[\xA0-\xBF][\x80-\xBF]|[\xE
 USUAL_MARKS = "“”‘’‚„–—…«»‹›°€£§©®·¿¡\u00a0"
 COMMON_SHARE = 0.12  # of the characters of a text in a two-byte encoding
 
+BLOCK = 1 << 20
 BYTE, PAIR, FACT = 0, 1, 2
 FACTS = ["lines", "nul_first", "nul_last", "utf-16-le", "utf-16-be", "utf-8"] + [f"{kind}:{name}" for name in DOUBLE for kind in ("valid", "chars", "common")]
 
@@ -86,23 +87,45 @@ def facts_of(line: bytes) -> dict[str, int]:
     return out
 
 
+def add_bytes(counts: np.ndarray, pairs: np.ndarray, last: bytes, lines: list[bytes]) -> bytes:
+    """Add lines to the counts of bytes and of pairs with one beyond ASCII, ``BLOCK`` bytes at a time; ``last`` is the last byte of the line before, if any.
+
+    Returns the last byte of these lines.
+    """
+    data = np.frombuffer(b"\n".join([last, *lines] if last else lines), dtype=np.uint8)
+    for at in range(0, len(data), BLOCK):
+        block = data[at : at + BLOCK + 1].astype(np.uint16)  # with the first byte of the next block, for the pair across
+        both = block[:-1] << 8 | block[1:]
+        high = both[(both & 0x8080) > 0]
+        if len(high):
+            pairs += np.bincount(high, minlength=65536)
+        counts += np.bincount(block[:BLOCK], minlength=256)
+    if last:
+        counts[last[0]] -= 1  # counted with its own line
+    return lines[-1][-1:]
+
+
 def byte_counts(lines: DataFrame) -> DataFrame:
     """(path, kind, code, n) over the lines (path, value) that are not plain ASCII."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            by_path: dict[str, list[bytes]] = {}
-            for path, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                by_path.setdefault(path, []).append(raw)
-            for path, raws in by_path.items():
-                data = np.frombuffer(b"\n".join(raws), dtype=np.uint8).astype(np.int64)
-                pairs = data[:-1] << 8 | data[1:]
-                high = np.bincount(pairs[(data[:-1] | data[1:]) >= 128], minlength=1)
-                facts = dict.fromkeys(FACTS, 0)
-                for raw in raws:
+            raws = batch.column(1)
+            by_path: dict[str, list[int]] = {}
+            for i, path in enumerate(batch.column(0).to_pylist()):
+                by_path.setdefault(path, []).append(i)
+            for path, own in by_path.items():
+                counts, pairs = np.zeros(256, dtype=np.int64), np.zeros(65536, dtype=np.int64)
+                facts, last, waiting, size = dict.fromkeys(FACTS, 0), b"", [], 0
+                for i in own:
+                    raw = raws[i].as_py()
                     for name, n in facts_of(raw).items():
                         facts[name] += n
-                rows = [(BYTE, np.bincount(data, minlength=256)), (PAIR, high), (FACT, np.array([facts[f] for f in FACTS]))]
+                    waiting.append(raw)
+                    size += len(raw)
+                    if size >= BLOCK or i == own[-1]:
+                        last, waiting, size = add_bytes(counts, pairs, last, waiting), [], 0
+                rows = [(BYTE, counts), (PAIR, pairs), (FACT, np.array([facts[f] for f in FACTS]))]
                 for kind, counts in rows:
                     used = np.flatnonzero(counts)
                     yield pa.RecordBatch.from_arrays([
