@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from tidemark.operators import charset as cs, grouping as gr, mojibake as mo
+from tidemark.plans.registry import derived_nulls
 
 
 @pytest.mark.parametrize("of", ["common", "first"])
@@ -41,3 +42,15 @@ def test_long_runs_are_not_remembered():
     wrong = right.encode().decode("latin-1")
     mo.known_repair.cache_clear()
     assert mo.fixed(wrong + " caf" + wrong[:2])[0] == right + " café" and mo.known_repair.cache_info().currsize == 1
+
+
+def test_part_is_not_collected_for_the_join(spark, tmp_path):
+    spark.sql("select id as p_partkey, 'Brand#1' as p_brand, 'ECONOMY' as p_type, 1 as p_size, 1.0D as p_retailprice from range(5)").write.parquet(
+        f"{tmp_path}/part.parquet"
+    )
+    spark.sql("select id as l_orderkey, id % 5 as l_partkey, 1.0D as l_quantity, 2.0D as l_extendedprice from range(40)").write.parquet(
+        f"{tmp_path}/lineitem.parquet"
+    )
+    rows = derived_nulls(spark, str(tmp_path))
+    assert rows.count() == 40
+    assert "BroadcastHashJoin" not in rows._jdf.queryExecution().toString()

@@ -38,7 +38,8 @@ DN_SQL = f"(select *, {QTY_RULE} as qty, {PRICE_RULE} as price from lineitem joi
 def derived_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem joined to part, with rule-made gaps in ``qty`` and ``price`` and one group without ``qty``."""
     lineitem, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
-    return lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+    # by merging: a small file may hold more rows than the driver should collect for a broadcast
+    return lineitem.join(part.hint("merge"), F.col("l_partkey") == F.col("p_partkey")).select(
         "*", F.expr(QTY_RULE).alias("qty"), F.expr(PRICE_RULE).alias("price")
     )
 
