@@ -1,10 +1,12 @@
 """Gradient boosting from sums of gradients and Hessians, with a learned direction for missing values.
 
 Every numeric feature is cut once at quantiles (one aggregate of sketches over all features) and kept as a small bin number, 0 for a missing value,
-so features need no imputer. A tree grows level by level, or by its best leaves: each step is one aggregate of gradients, Hessians and rows by
+so features need no imputer. Rows with the same bins in all features get the same score in every step, so they are summed once into one cell with its
+number of rows and the sum of its targets; gradients and Hessians are exact on cells, and all steps go over these. A tree grows level by level, or by its
+best leaves: each step is one aggregate of gradients, Hessians and rows by
 (leaf, feature, bin), combined before its shuffle and bounded by leaves x features x bins whatever the number of rows. From these sums the driver
-takes the best split of each leaf, trying for every cut to send missing values left and right. Trees are applied as column
-expressions, so training, scoring and the next step's sums all stay in generated code.
+takes the best split of each leaf, trying for every cut to send missing values left and right. In training, trees are applied to cells as column
+expressions; rows are cut into bins and scored in arrays, since so many nested conditions are not compiled and take many times as long a row.
 
 The running scores are written to the shared folder every ``KEEP`` trees, so plans stay short and a lost executor costs a few trees of scoring.
 """
@@ -18,6 +20,7 @@ from functools import reduce
 from operator import add
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.missing import null_if_nan
@@ -52,13 +55,25 @@ class Boosted:
 
     def score(self, df: DataFrame) -> Column:
         """Raw score of each row (log-odds for the logistic objective)."""
-        values = [null_if_nan(df, name).cast("double") for name in self.features]
-
-        def goes_left(node: Node) -> Column:
-            value = values[node.feature]
-            return F.coalesce(value <= F.lit(node.edge), F.lit(node.missing_left))
-
-        return reduce(add, [leaf_value(tree, goes_left) for tree in self.trees], F.lit(self.base))
+        if not self.trees:
+            return F.lit(self.base)
+        base, trees = self.base, [tree_arrays(tree) for tree in self.trees]
+
+        @F.pandas_udf("double")
+        def raw(*columns: pd.Series) -> pd.Series:
+            x = np.stack([c.to_numpy(float) for c in columns], axis=1)
+            rows = np.arange(len(x))
+            total = np.full(len(x), base)
+            for feature, edge, missing_left, left, right, value in trees:
+                node = np.zeros(len(x), np.int64)
+                while (inner := feature[node] >= 0).any():
+                    own = x[rows, np.maximum(feature[node], 0)]
+                    goes_left = np.where(np.isnan(own), missing_left[node], own <= edge[node])
+                    node = np.where(inner, np.where(goes_left, left[node], right[node]), node)
+                total += value[node]
+            return pd.Series(total)
+
+        return raw(*[null_if_nan(df, name).cast("double") for name in self.features])
 
     def predict(self, df: DataFrame) -> Column:
         return link(self.score(df), self.objective)
@@ -74,6 +89,10 @@ class Boosted:
         return {name: gain / total for name, gain in gains.items()}
 
 
+def tree_arrays(tree: list[Node]) -> tuple[np.ndarray, ...]:
+    return tuple(np.array([getattr(node, name) for node in tree]) for name in ("feature", "edge", "missing_left", "left", "right", "value"))
+
+
 def link(score: Column, objective: str) -> Column:
     return 1 / (1 + F.exp(-score)) if objective == "logistic" else score
 
@@ -104,15 +123,37 @@ def feature_edges(df: DataFrame, features: Sequence[str], max_bins: int) -> list
 
 
 def bin_number(value: Column, edges: Sequence[float]) -> Column:
-    """1 + the number of edges below the value, by halving the edges; 0 for a missing value."""
+    """1 + the number of edges below the value; 0 for a missing value. Searched in arrays: as nested conditions the code grows too long to be compiled."""
+    cuts = np.array(edges, float)
+
+    @F.pandas_udf("short")
+    def number(x: pd.Series) -> pd.Series:
+        v = x.to_numpy(float)
+        return pd.Series(np.where(np.isnan(v), 0, np.searchsorted(cuts, v) + 1).astype(np.int16))
+
+    return number(value)
+
+
+@dataclass
+class Binned:
+    """Rows with a target, summed by the bins of all features: columns ``b0``, ``b1`` ..., ``n`` (rows) and ``target`` (their mean)."""
+
+    features: list[str]
+    edges: list[list[float]]
+    cells: DataFrame
 
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low + 1)
-        middle = (low + high) // 2
-        return F.when(value <= F.lit(edges[middle]), search(low, middle)).otherwise(search(middle + 1, high))
 
-    return F.when(value.isNull(), F.lit(0)).otherwise(search(0, len(edges))).cast("short")
+def binned_cells(df: DataFrame, features: Sequence[str], target: str, max_bins: int = 32) -> Binned:
+    """Cut every feature at quantiles and sum the rows of equal bins: at most the product of the numbers of bins, and never more than there are rows."""
+    features = list(features)
+    known = df.where(null_if_nan(df, target).isNotNull())
+    edges = feature_edges(known, features, max_bins)
+    names = [f"b{i}" for i in range(len(features))]
+    binned = known.select(
+        F.col(f"`{target}`").cast("double").alias("target"),
+        *[bin_number(null_if_nan(known, c).cast("double"), e).alias(b) for b, c, e in zip(names, features, edges)],
+    )
+    return Binned(features, edges, pin_for_reuse(binned.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), F.avg("target").alias("target"))))
 
 
 @dataclass(frozen=True)
@@ -158,15 +199,15 @@ def gradients(score: Column, target: Column, objective: str) -> tuple[Column, Co
 
 
 def leaf_sums(
-    rows: DataFrame, leaf: Column, score: Column, features: int, bins: int, objective: str, leaves: Sequence[int]
+    cells: DataFrame, leaf: Column, score: Column, features: int, bins: int, objective: str, leaves: Sequence[int]
 ) -> dict[int, np.ndarray]:
     """Sums (gradient, Hessian, rows) per (feature, bin) of the given leaves, from one aggregate."""
     g, h = gradients(F.col("__score"), F.col("target"), objective)
-    unfolded = rows.select(leaf.alias("leaf"), score.alias("__score"), "target", *[f"b{i}" for i in range(features)]).where(
+    unfolded = cells.select(leaf.alias("leaf"), score.alias("__score"), "target", "n", *[f"b{i}" for i in range(features)]).where(
         F.col("leaf").isNotNull()
-    ).select("leaf", g.alias("g"), h.alias("h"), F.posexplode(F.array(*[f"b{i}" for i in range(features)])).alias("feature", "bin"))
+    ).select("leaf", "n", (g * F.col("n")).alias("g"), (h * F.col("n")).alias("h"), F.posexplode(F.array(*[f"b{i}" for i in range(features)])).alias("feature", "bin"))
     # one row per leaf, feature and bin, whatever the size of the table
-    sums = unfolded.groupBy("leaf", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.count(F.lit(1)).alias("n"))
+    sums = unfolded.groupBy("leaf", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n"))
     out = {leaf: np.zeros((3, features, bins)) for leaf in leaves}
     for r in sums.collect():
         out[r["leaf"]][:, r["feature"], r["bin"]] = r["g"], r["h"], r["n"]
@@ -176,22 +217,17 @@ def leaf_sums(
 def fit_boosted(
     df: DataFrame, features: Sequence[str], target: str, objective: str = "squared", trees: int = 20, depth: int = 4,
     learning_rate: float = 0.3, max_bins: int = 32, penalty: float = 1.0, min_gain: float = 0.0, min_hessian: float = 1.0, min_rows: int = 1,
-    max_leaves: int | None = None,
+    max_leaves: int | None = None, binned: Binned | None = None,
 ) -> Boosted:
-    """Fit on the rows that have a target.
+    """Fit on the rows that have a target; ``binned`` hands over their cells (with edges of its own) where several fits share them.
 
     Without ``max_leaves`` every leaf of a level is split as long as its gain exceeds ``min_gain``; with it, the best half of
     the waiting leaves is split in each step until there are so many leaves or no gain is left (``depth`` still bounds it).
     """
-    features = list(features)
-    known = df.where(null_if_nan(df, target).isNotNull())
-    edges = feature_edges(known, features, max_bins)
-    binned = known.select(
-        F.col(f"`{target}`").cast("double").alias("target"),
-        *[bin_number(null_if_nan(known, c).cast("double"), e).alias(f"b{i}") for i, (c, e) in enumerate(zip(features, edges))],
-    )
-    rows = pin_for_reuse(binned)
-    mean = rows.agg(F.avg("target")).first()[0]
+    if binned is None:
+        binned = binned_cells(df, features, target, max_bins)
+    features, edges, cells = list(binned.features), binned.edges, binned.cells
+    mean = cells.agg(F.sum(F.col("target") * F.col("n")) / F.sum("n")).first()[0]
     if mean is None:
         return Boosted(features, edges, 0.0, objective)
     base = mean
@@ -200,7 +236,7 @@ def fit_boosted(
         base = math.log(bounded / (1 - bounded))
     model = Boosted(features, edges, base, objective)
     bins = max(len(e) for e in edges) + 2  # missing, and one more than there are edges
-    scored, unwritten = rows.withColumn("score", F.lit(base)), 0
+    scored, unwritten = cells.withColumn("score", F.lit(base)), 0
     score = F.col("score")
 
     def goes_left(node: Node) -> Column:

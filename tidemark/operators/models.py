@@ -1,28 +1,26 @@
-"""Scoring imputation by how well models predict from the imputed columns (``pyspark.ml``)."""
+"""Scoring imputation by how well models predict from the imputed columns: least squares, forests and Spark's boosted trees."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.joins import null_safe_join
 from tidemark.functions.missing import nan_to_null, null_if_nan
 from tidemark.functions.quantiles import column_quantiles
-from tidemark.operators import chained
+from tidemark.operators import boosting, chained, forests
 from tidemark.operators.outliers import histogram
 from tidemark.operators.profile import constant_columns, per_column
-from tidemark.session import pin, pin_for_reuse
+from tidemark.session import pin, pin_columns, pin_for_reuse
 
-MODELS = {
-    "linear": lambda: LinearRegression(maxIter=50),
-    "forest": lambda: RandomForestRegressor(numTrees=20, maxDepth=6, seed=42),
-    "boosting": lambda: GBTRegressor(maxIter=10, maxDepth=4, seed=42),
-}
+MODELS = ("linear", "forest", "boosting")
+FOREST_TREES, FOREST_DEPTH = 20, 6
 IMPUTERS = ("mean", "median", "mice")
 
 
@@ -136,13 +134,70 @@ def impute_features(df: DataFrame, features: Sequence[str], strategy: str, fit_o
     return fill(df, column_fill(df.where(fit_on), features, strategy))
 
 
-def fit_model(df: DataFrame, features: Sequence[str], target: str, model: str) -> PipelineModel:
-    stages = [
-        VectorAssembler(inputCols=list(features), outputCol="__raw"),
-        StandardScaler(inputCol="__raw", outputCol="features", withMean=True),
-        MODELS[model]().setLabelCol(target).setPredictionCol("prediction"),
-    ]
-    return Pipeline(stages=stages).fit(df)
+@dataclass
+class BinnedModel:
+    """A model fitted on numbers of bins; ``transform`` takes the bins of the features first."""
+
+    features: list[str]
+    edges: list[list[float]]
+    model: PipelineModel
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        names = [f"__b{i}" for i in range(len(self.features))]
+        numbers = {b: bin_or_null(null_if_nan(df, c).cast("double"), e) for b, c, e in zip(names, self.features, self.edges)}
+        return self.model.transform(df.withColumns(numbers)).drop(*names)
+
+
+def bin_or_null(value: Column, edges: Sequence[float]) -> Column:
+    return F.when(value.isNotNull(), boosting.bin_number(value, edges)).cast("double")
+
+
+def fit_boosting(binned: boosting.Binned) -> BinnedModel:
+    """Spark's boosted trees on cells of rows with equal bins, weighted by their rows.
+
+    Spark's trees cut at bins as well. On squares the best cuts and the values of leaves follow from the rows and mean of each cell, so
+    the trees are those of the rows.
+    """
+    names = [f"__b{i}" for i in range(len(binned.features))]
+    rows = binned.cells.select("n", "target", *[F.nullif(f"b{i}", F.lit(0)).cast("double").alias(b) for i, b in enumerate(names)])
+    stages = [VectorAssembler(inputCols=names, outputCol="features"), GBTRegressor(maxIter=10, maxDepth=4, seed=42).setLabelCol("target").setWeightCol("n").setPredictionCol("prediction")]
+    return BinnedModel(binned.features, binned.edges, Pipeline(stages=stages).fit(rows))
+
+
+def fit_model(
+    df: DataFrame, features: Sequence[str], target: str, model: str, binned: boosting.Binned | None = None
+) -> LinearModel | BinnedModel | forests.Forest:
+    """A fitted model; ``binned`` hands over the cells of ``df`` where several models of trees share them (with draws, for a forest)."""
+    if model == "boosting":
+        return fit_boosting(binned or boosting.binned_cells(df, features, target))
+    if model == "forest":
+        return forests.fit_forest(binned or forests.bagged_cells(df, features, target, FOREST_TREES), FOREST_DEPTH)
+    if model == "linear":
+        return fit_linear(df, features, target)
+    raise ValueError(f"unknown model: {model}")
+
+
+@dataclass
+class LinearModel:
+    features: list[str]
+    weights: list[float]
+    intercept: float
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        terms = [forests.present(df, c) * F.lit(w) for c, w in zip(self.features, self.weights)]
+        return df.withColumn("prediction", reduce(lambda a, b: a + b, terms, F.lit(self.intercept)))
+
+
+def fit_linear(df: DataFrame, features: Sequence[str], target: str) -> LinearModel:
+    """Least squares from the cross-products of one pass. Its predictions do not depend on the scale of the features."""
+    columns = [*features, target]
+    rows = df.where(null_if_nan(df, target).isNotNull()).select(*[forests.present(df, c).alias(f"x{i}") for i, c in enumerate(columns)])
+    means = list(rows.agg(*[F.avg(c) for c in rows.columns]).first())
+    if means[-1] is None:
+        raise ValueError("no rows to learn from")
+    weights = chained.regression(sum(chained.cross_products(rows, rows.columns, means, None).values()), len(columns), 0.0)
+    slopes = [float(w) for w in weights[1:-1]]
+    return LinearModel(list(features), slopes, float(weights[0] + means[-1] - sum(w * m for w, m in zip(slopes, means))))
 
 
 def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
@@ -159,18 +214,21 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 
 
 def impute_model_grid(
-    df: DataFrame, target: str, key: str, imputers: Sequence[str] = IMPUTERS, models: Sequence[str] = tuple(MODELS), rounds: int = 5
+    df: DataFrame, target: str, key: str, imputers: Sequence[str] = IMPUTERS, models: Sequence[str] = MODELS, rounds: int = 5
 ) -> DataFrame:
     """MAE, RMSE and R2 on held-out rows for every imputer and model."""
-    frame = pin_for_reuse(modelling_frame(df, target, [key]))
+    frame = modelling_frame(pin_columns(df), target, [key])
     features = [c for c in frame.columns if c not in (key, target)]
     test = is_test(F.col(key))
     scores = []
     for imputer in imputers:
-        filled = pin(impute_features(frame, features, imputer, ~test, rounds))
+        filled = impute_features(frame, features, imputer, ~test, rounds)
+        if imputer == "mice":  # others are one expression a column
+            filled = pin_columns(filled)
         train, held_out = filled.where(~test), filled.where(test)
+        binned = forests.bagged_cells(train, features, target, FOREST_TREES) if "forest" in models else None  # boosting reads the same cells
         for model in models:
-            fitted = fit_model(train, features, target, model)
+            fitted = fit_model(train, features, target, model, binned)
             metrics = regression_metrics(fitted.transform(held_out), target, "prediction")
             scores.append(metrics.select(F.lit(imputer).alias("imputer"), F.lit(model).alias("model"), "mae", "rmse", "r2"))
     return reduce(lambda a, b: a.unionByName(b), scores)
