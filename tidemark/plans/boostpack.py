@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import boosting as bo, models as md
 from tidemark.plans.registry import DN_SQL, derived_nulls, query
+from tidemark.session import pin_columns
 
 FEATURES = ["qty", "l_discount", "l_tax", "p_size"]
 TARGET = "l_quantity * 100 + case when p_size > 25 then 900 else 0 end + l_discount * 10000 * case when l_tax > 0.04 then 1 else -1 end"
@@ -18,12 +19,13 @@ def rows(spark, sf_dir):
 @query("boosted_missing")
 def boosted_missing(spark, sf_dir):
     """Held-out errors of boosting with a learned direction for gaps, by level and by best leaf, and of Spark's own trees on filled gaps."""
-    frame = md.pin_for_reuse(rows(spark, sf_dir))
+    frame = pin_columns(rows(spark, sf_dir))
     test = md.is_test(F.col("l_orderkey"))
     train, held_out = frame.where(~test), frame.where(test)
+    binned = bo.binned_cells(train, FEATURES, "y")
     out = []
     for name, options in (("by_level", {}), ("by_leaf", {"max_leaves": 12, "depth": 6})):
-        model = bo.fit_boosted(train, FEATURES, "y", trees=6, learning_rate=0.5, **{"depth": 4, **options})
+        model = bo.fit_boosted(train, FEATURES, "y", trees=6, learning_rate=0.5, binned=binned, **{"depth": 4, **options})
         scores = md.regression_metrics(bo.with_prediction(held_out, model), "y", "prediction")
         out.append(scores.select(F.lit(name).alias("model"), "mae", "rmse", "r2"))
     filled = md.fill(frame, md.column_fill(train, FEATURES, "median"))
