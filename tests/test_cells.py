@@ -78,3 +78,8 @@ def test_a_gap_in_a_feature_is_an_error(spark, model):
     df = spark.createDataFrame([(float(i % 5) if i else None, float(i)) for i in range(40)], "x double, y double")
     with pytest.raises(Exception, match="(?i)missing|null"):
         md.fit_model(df, ["x"], "y", model).transform(df).collect()
+
+
+def test_sparks_trees_choose_among_finer_cuts(spark):
+    df = spark.range(3000).select((F.col("id") % 50).cast("double").alias("x")).withColumn("y", F.when(F.col("x") > 25, 9.0).otherwise(0.0))
+    assert len(md.fit_model(df, ["x"], "y", "boosting").edges[0]) == 49

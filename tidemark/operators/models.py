@@ -21,6 +21,7 @@ from tidemark.session import pin, pin_columns, pin_for_reuse
 
 MODELS = ("linear", "forest", "boosting")
 FOREST_TREES, FOREST_DEPTH = 20, 6
+FINE_BINS = 256  # cells for Spark's trees, which choose at most 31 cuts among their edges
 IMPUTERS = ("mean", "median", "mice")
 
 
@@ -169,7 +170,7 @@ def fit_model(
 ) -> LinearModel | BinnedModel | forests.Forest:
     """A fitted model; ``binned`` hands over the cells of ``df`` where several models of trees share them (with draws, for a forest)."""
     if model == "boosting":
-        return fit_boosting(binned or boosting.binned_cells(df, features, target))
+        return fit_boosting(binned or boosting.binned_cells(df, features, target, FINE_BINS))
     if model == "forest":
         return forests.fit_forest(binned or forests.bagged_cells(df, features, target, FOREST_TREES), FOREST_DEPTH)
     if model == "linear":
